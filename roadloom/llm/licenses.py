@@ -1,21 +1,21 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
-A block is a line; its set are its distinct words. A template is contained in
-a block when the block holds at least ``PERCENT`` percent of the template's
-words. The join is the prefix-filter kind:
+A block is a line; its set are its distinct pairs of neighbouring words. A
+template is contained in a block when the block holds at least ``PERCENT``
+percent of the template's pairs. The join is the prefix-filter kind:
 
 * tokens have one global order, rarest first, from the document frequencies of
-  all template words over the whole corpus (one aggregate row);
-* of a template with n words and a needed overlap of t, only the first
-  n - t + 1 words are indexed: a block without any of them can't reach t;
-* blocks with fewer than t distinct words are out by length;
-* from the place of the first shared word at most n - place words can be
+  all template tokens over the whole corpus (one aggregate row);
+* of a template with n tokens and a needed overlap of t, only the first
+  n - t + 1 tokens are indexed: a block without any of them can't reach t;
+* blocks with fewer than t words pairs are out by length;
+* from the place of the first shared word at most n - place tokens can be
   shared, which prunes by position;
 * what is left is verified on the whole sets.
 
 Templates are a fixed list, so the index is a handful of rows whatever the
-corpus, and is held in the plan as literals: blocks are only exploded to
-(block, prefix word) rows after the prefix filter. No shuffle but the one
+corpus, and is held in the plan as literals: blocks are only
+verified after the prefix filter. No shuffle but the one
 aggregate per document.
 
 ``scan`` also counts the base phrases: places where their words stand
@@ -29,6 +29,7 @@ result (every word then counts as rare); further columns are ignored.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,75 +54,77 @@ TEMPLATES = [
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 SEPARATORS_BUT_LINES = r"[\x00-\x09\x0B-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# A line without this can hold no template: each template's needed overlap forces one of its rarer words, checked again by the prefix index.
 
 
-def _words(template: str) -> list[str]:
-    return sorted(set(template.split()))
+def _pairs(template: str) -> list[str]:
+    """A template's tokens: its distinct pairs of neighbouring words."""
+    words = template.split()
+    return sorted({f"{a} {b}" for a, b in zip(words, words[1:], strict=False)})
 
 
 def lines(text: Column) -> Column:
-    """The text's lines as words joined by single spaces, lower-cased (A-Z only)."""
-    return F.split(F.translate(F.regexp_replace(text, SEPARATORS_BUT_LINES, " "), _UPPER, _LOWER), "\n")
+    """The text's lines as words, lower-cased (A-Z only), with one space before and after each word."""
+    flat = F.translate(F.regexp_replace(text, SEPARATORS_BUT_LINES, " "), _UPPER, _LOWER)
+    return F.transform(F.split(flat, "\n"), lambda line: F.concat(F.lit(" "), line, F.lit(" ")))
+
+
+def _has(line: Column, pair: str) -> Column:
+    return F.contains(line, F.lit(f" {pair} "))
 
 
 def vocabulary() -> list[str]:
-    return sorted({w for _, t in TEMPLATES for w in t.split()})
+    return sorted({p for _, t in TEMPLATES for p in _pairs(t)})
 
 
-def frequencies(rows: DataFrame) -> dict[str, int]:
-    """In how many documents each template word stands: one aggregate over all rows of (doc, lines)."""
-    words = F.split(F.array_join("lines", " "), " ")
-    present = F.array_intersect(words, F.array(*[F.lit(w) for w in vocabulary()]))
-    held = rows.select(present.alias("present"))
-    counted = held.agg(*[F.count_if(F.array_contains("present", w)).alias(f"w{i}") for i, w in enumerate(vocabulary())]).first()
-    return {w: int(counted[i] or 0) for i, w in enumerate(vocabulary())}
+def frequencies(texts: DataFrame) -> dict[str, int]:
+    """In how many documents each template token stands: one aggregate over all rows of (text)."""
+    flat = F.concat(F.lit(" "), F.translate(F.regexp_replace("text", SEPARATORS, " "), _UPPER, _LOWER), F.lit(" "))
+    # A token's text holds one of these words, so other texts count nowhere.
+    gate = "(?i)" + "|".join(sorted({max(p.split(), key=len) for p in vocabulary()}))
+    held = texts.filter(F.col("text").rlike(gate)).select(flat.alias("flat"))
+    counted = held.agg(*[F.count_if(_has(F.col("flat"), p)).alias(f"p{i}") for i, p in enumerate(vocabulary())]).first()
+    return {p: int(counted[i] or 0) for i, p in enumerate(vocabulary())}
 
 
-def prefix_index(counts: dict[str, int], percent: int = PERCENT) -> list[tuple[int, str, list[str], int, list[str]]]:
-    """For each template: number, label, its words in global order, needed overlap, and its prefix."""
+def prefix_index(counts: dict[str, int], percent: int = PERCENT) -> list[tuple[str, list[str], int, list[str]]]:
+    """For each template: label, its tokens in global order, needed overlap, and its prefix."""
     out = []
-    for number, (label, text) in enumerate(TEMPLATES):
-        ordered = sorted(_words(text), key=lambda w: (counts[w], w))
+    for label, text in TEMPLATES:
+        ordered = sorted(_pairs(text), key=lambda p: (counts[p], p))
         need = math.ceil(len(ordered) * percent / 100)
-        out.append((number, label, ordered, need, ordered[: len(ordered) - need + 1]))
+        out.append((label, ordered, need, ordered[: len(ordered) - need + 1]))
     return out
 
 
-def _contained(block: Column, index: list[tuple[int, str, list[str], int, list[str]]]) -> Column:
-    """array<struct<score,label>> of the templates that a candidate block (distinct words) contains."""
-    size = F.size(block)
+def _contained(line: Column, index: list[tuple[str, list[str], int, list[str]]]) -> Column:
+    """array<struct<score,label>> of the templates that a candidate line contains."""
+    size = F.length(line) - F.length(F.replace(line, F.lit(" "))) - 2
     tests = []
-    for _, label, ordered, need, prefix in index:
-        literal = F.array(*[F.lit(w) for w in ordered])
-        first = F.least(*[F.when(F.array_contains(block, w), F.lit(i)) for i, w in enumerate(prefix)], F.lit(len(ordered)))
-        # Words before the first shared one are not shared: the rest bounds the overlap.
-        reachable = (size >= need) & (F.lit(len(ordered)) - first >= need)
-        shared = F.size(F.array_intersect(literal, block))
-        score = F.when(reachable & (shared >= need), shared / F.lit(float(len(ordered))))
-        tests.append(F.struct(score.alias("score"), F.lit(label).alias("label")))
-    return F.filter(F.array(*tests), lambda x: x["score"].isNotNull())
+    for label, ordered, need, prefix in index:
+        n = len(ordered)
+        first = F.coalesce(*[F.when(_has(line, p), F.lit(i)) for i, p in enumerate(prefix)], F.lit(n))
+        # Tokens before the first shared one are not shared: the rest bounds the overlap.
+        reachable = (size >= need) & (F.lit(n) - first >= need)
+        shared = sum([_has(line, p).cast("int") for p in ordered[1:]], _has(line, ordered[0]).cast("int"))
+        tests.append(F.struct(F.when(reachable, shared / F.lit(float(n))).alias("score"), F.lit(label).alias("label"), F.lit(need / n).alias("least")))
+    good = F.filter(F.array(*tests), lambda x: x["score"] >= x["least"])
+    return F.transform(good, lambda x: F.struct(x["score"].alias("score"), x["label"].alias("label")))
 
 
 def scan(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score and matches (array<struct<label,score,line>>)."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     source = docs.select("doc_id", text.alias("text"))
-    counts = frequencies(source.select(lines(F.col("text")).alias("lines")))
+    counts = frequencies(source.select("text"))
     index = prefix_index(counts, percent)
-    keys = sorted({w for *_, prefix in index for w in prefix})
-    gate = F.lit(r"(?i)\b(" + "|".join(keys) + r")\b")
-    block = lambda line: F.array_distinct(F.split(line, " "))
-    numbered = F.transform(F.col("lines"), lambda line, i: F.struct(i.cast("int").alias("line"), line.alias("words")))
-    candidates = F.filter(numbered, lambda x: F.arrays_overlap(F.split(x["words"], " "), F.array(*[F.lit(w) for w in keys])))
-    found = F.flatten(F.transform(candidates, lambda x: F.transform(_contained(block(x["words"]), index), lambda y: F.struct(y["score"].alias("score"), y["label"].alias("label"), x["line"].alias("line")))))
-    hasany = F.col("text").rlike(r"(?i)(" + "|".join(keys) + ")")
-    rows = source.select(
-        "doc_id",
-        F.regexp_replace("text", SEPARATORS, " ").alias("flat"),
-        F.when(hasany, lines(F.col("text"))).alias("lines"),
-    )
-    rows = rows.select("doc_id", F.trim("flat").alias("flat"), F.when(F.col("lines").isNotNull(), found).alias("matches"))
+    keys = sorted({p for *_, prefix in index for p in prefix})
+    numbered = F.transform(lines(F.col("text")), lambda line, i: F.struct(i.cast("int").alias("line"), line.alias("words")))
+    candidates = F.filter(numbered, lambda x: reduce(lambda a, b: a | b, [_has(x["words"], p) for p in keys]))
+    found = F.flatten(F.transform(candidates, lambda x: F.transform(_contained(x["words"], index), lambda y: F.struct(y["score"].alias("score"), y["label"].alias("label"), x["line"].alias("line")))))
+    # A line with a prefix token has its longest word; most texts have none of those and are not cut into lines.
+    possible = F.col("text").rlike("(?i)" + "|".join(sorted({max(p.split(), key=len) for p in keys})))
+    rows = source.select("doc_id", F.regexp_replace("text", SEPARATORS, " ").alias("flat"), F.when(possible, found).alias("matches"))
+    rows = rows.select("doc_id", F.trim("flat").alias("flat"), "matches")
     n_words = F.when(F.col("flat") == "", F.lit(0)).otherwise(F.length("flat") - F.length(F.replace(F.col("flat"), F.lit(" "))) + 1)
     maybe = F.col("flat").rlike("(?i)" + "|".join(PHRASES))
     framed = F.concat(F.lit(" "), F.replace(F.translate("flat", _UPPER, _LOWER), F.lit(" "), F.lit("  ")), F.lit(" "))

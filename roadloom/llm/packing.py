@@ -46,7 +46,7 @@ CAPACITY, SEPARATOR, BUCKETS, SEARCH_BINS = 2048, 0, 64, 1024
 # Texts of these characters only are split into words here and looked up; all others go through the tokenizer whole.
 PLAIN = re.compile(r"[\t\n\r\x20-\x7e¡¿«»À-ÿ]*")
 SPECIAL = "<|"
-PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿ]+|[0-9]|[^\sa-zà-öø-ÿ0-9]+")
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
 
 
 class WordTokenizer:
