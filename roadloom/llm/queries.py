@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadloom.llm import ann, chat, licenses, packing, secrets, sharding, toxicity
+from roadloom.llm import ann, chat, decontaminate, licenses, packing, repeats, secrets, sharding, toxicity
 from roadloom.llm.base import table
 from roadloom.llm.minhash import near_duplicates
 
@@ -42,6 +42,10 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_rows(chat.turns_from_rows(rows, "conv_id"), "conv_id"), "conv_id")
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     lexicon = toxicity.learn(toxicity.fit_sample(docs, table(spark, sf_dir, "labels")))
@@ -54,6 +58,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(spark, table(spark, sf_dir, "documents")))
 
 
+def op8_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return ann.search(vectors, vectors.filter("vec_id % 100 = 0"), top=10)
@@ -69,8 +77,10 @@ QUERIES: dict[str, Query] = {
     "op2_license_scan": op2_license_scan,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_chat_format": op4_chat_format,
+    "op5_decontaminate": op5_decontaminate,
     "op6_toxicity": op6_toxicity,
     "op7_secret_scan": op7_secret_scan,
+    "op8_repeat_removal": op8_repeat_removal,
     "op9_multi_index": op9_multi_index,
     "op10_rendezvous_shards": op10_rendezvous_shards,
 }
