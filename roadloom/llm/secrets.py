@@ -44,6 +44,8 @@ BASE = ["assign", "access", "hex"]
 # What a text must have for any rule to match (literals and one class run).
 GATE = r"(?i)password|passwd|secret|token|api_?key|akia|[0-9a-f]{24}|eyj|gh[pousr]_|xox[abprs]-|-----begin"
 
+FINDINGS = "array<struct<start:int,kind_no:int,kind:string,end:int>>"
+
 _OPEN, _CLOSE, _SAFE = "\x01", "\x02", "\x03"
 
 
@@ -52,7 +54,7 @@ def _spans(text: Column, kind: str, pattern: str, least: int, least_last: int) -
     number = [k for k, *_ in RULES].index(kind)
     pieces = F.split(F.regexp_replace(text, pattern, f"{_OPEN}$0{_CLOSE}"), f"[{_OPEN}{_CLOSE}]")
     # Pieces alternate: outside, match, outside, match, ..., outside.
-    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("i"), F.array().cast("array<struct<start:int,kind_no:int,kind:string,end:int>>").alias("found"))
+    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("i"), F.array().cast(FINDINGS).alias("found"))
 
     def step(acc: Column, piece: Column) -> Column:
         size = F.length(piece)
@@ -74,20 +76,42 @@ def findings(text: Column) -> Column:
 
 def scan(spark: SparkSession, docs: DataFrame, ledger: str | None = None, version: int = RULE_VERSION) -> DataFrame:
     """doc_id, blob, findings (array, null if none): ``ledger`` is a Parquet path that is extended; none makes a new one in the shared folder."""
-    schema = "blob binary, rule_version int, findings array<struct<start:int,kind_no:int,kind:string,end:int>>"
+    paths = docs.select("doc_id", blob_of(F.col("text")).alias("blob"))
+    return paths.join(_known(spark, docs, ledger, version), "blob", "left")
+
+
+def blob_of(text: Column) -> Column:
+    """A text's address; that of no bytes for null."""
+    return F.unhex(F.sha2(F.coalesce(text.cast("string"), F.lit("")).cast("binary"), 256))
+
+
+def _known(spark: SparkSession, docs: DataFrame, ledger: str | None, version: int) -> DataFrame:
+    """(blob, findings) of all blobs with findings, after what is unseen among ``docs`` has been scanned."""
+    schema = f"blob binary, rule_version int, findings {FINDINGS}"
     path = ledger or fresh_path(spark, "ledger")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    paths = docs.select("doc_id", text.alias("text")).withColumn("blob", F.unhex(F.sha2("text", 256)))
-    unseen = paths
+    unseen = docs.select(text.alias("text"), blob_of(F.col("text")).alias("blob"))
     if ledger and _exists(spark, path):
         seen = spark.read.schema(schema).parquet(path).filter(F.col("rule_version") == version).select("blob")
-        unseen = paths.join(seen, "blob", "left_anti")
+        unseen = unseen.join(seen, "blob", "left_anti")
     # Copies agree on their findings, so the greatest of them is any of them; numbers sort, structs do too.
     fresh = unseen.select("blob", findings(F.col("text")).alias("findings"))
     fresh = fresh.withColumn("rule_version", F.lit(version)).groupBy("blob", "rule_version").agg(F.max("findings").alias("findings"))
     fresh.select("blob", "rule_version", "findings").write.mode("append").parquet(path)
-    known = spark.read.schema(schema).parquet(path).filter((F.col("rule_version") == version) & (F.size("findings") > 0))
-    return paths.select("doc_id", "blob").join(known.select("blob", "findings"), "blob", "left")
+    found = spark.read.schema(schema).parquet(path).filter((F.col("rule_version") == version) & (F.size("findings") > 0))
+    return found.select("blob", "findings")
+
+
+def redact(spark: SparkSession, docs: DataFrame, ledger: str | None = None, version: int = RULE_VERSION) -> DataFrame:
+    """The rows with all columns; every finding in ``text`` is replaced by its kind in brackets, and ``n_chars``, if there, is counted again."""
+    known = _known(spark, docs, ledger, version).select(F.col("blob").alias("_blob"), F.col("findings").alias("_findings"))
+    rows = docs.withColumn("_own", blob_of(F.col("text"))).join(known, F.col("_own") == F.col("_blob"), "left")
+    found = F.coalesce(F.col("_findings"), F.array().cast(FINDINGS))
+    rows = rows.withColumn("text", redacted(F.col("text"), found))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        rows = rows.withColumn("n_chars", F.when(F.size(found) > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -103,7 +127,7 @@ def listed(found: Column) -> Column:
 
 def digest(found: DataFrame) -> DataFrame:
     """The columns doc_id, n_assign, n_access, n_hex, base_sha256, spans of ``scan``'s result."""
-    all_of = F.coalesce(F.col("findings"), F.array().cast("array<struct<start:int,kind_no:int,kind:string,end:int>>"))
+    all_of = F.coalesce(F.col("findings"), F.array().cast(FINDINGS))
     count = lambda kind: F.size(F.filter(all_of, lambda x: x["kind"] == kind)).cast("long")
     base = F.filter(all_of, lambda x: x["kind"].isin(BASE))
     return found.select(
