@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadloom.session import ship
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
@@ -38,7 +40,7 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def spread(df: DataFrame, *cols: str) -> DataFrame:
