@@ -19,3 +19,15 @@ def ship(spark: SparkSession) -> SparkSession:
     if root not in paths:
         env["PYTHONPATH"] = ":".join([root, *paths])
     return spark
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path in the folder that driver and executors share (spark.checkpoint.dir; a temporary one only where that is unset)."""
+    import tempfile
+    import uuid
+
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        at = tempfile.mkdtemp(prefix="roadloom-")
+        spark.conf.set("spark.checkpoint.dir", at)
+    return f"{at.rstrip('/')}/{name}-{uuid.uuid4().hex}"
