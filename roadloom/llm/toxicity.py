@@ -33,9 +33,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-FIT_ROWS, MAX_TERMS, SIGNIFICANCE, PURITY = 12_000, 512, 12.0, 0.005
-EXACT, FUZZY, WINDOW, THRESHOLD = 0.7, 0.3, 8, 0.3
-SHORTEST, LONGEST, FUZZY_FROM, TWICE_FROM = 4, 10, 5, 10
+FIT_ROWS, MAX_TERMS, SIGNIFICANCE, SUPPORT = 12_000, 512, 12.0, 0.03
+# Clean texts for each toxic one that a term may stand in: for full weight, and at all.
+PURITY, WORST = 0.005, 0.12
+EXACT, IMPURE, FUZZY, WINDOW, THRESHOLD = 0.7, 0.25, 0.3, 8, 0.3
+SHORTEST, LONGEST, FUZZY_FROM, TWICE_FROM = 4, 10, 5, 12
 
 WORD = re.compile(r"\w+(?:[@$*]\w+)*")
 LEET = str.maketrans("013457@$*", "oieastas*")
@@ -70,7 +72,8 @@ def fit_sample(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Data
     usable = labels.select(F.col("doc_id").alias("_id"), "toxic").filter("toxic is not null and _id is not null").filter(~held_out(F.col("_id")))
     some = usable.orderBy(F.xxhash64("_id"), "_id", "toxic").limit(rows)
     pairs = docs.select("doc_id", "text").join(F.broadcast(some), F.col("doc_id") == F.col("_id"))
-    return pairs.filter("text is not null").select("toxic", F.col("text").cast("string").alias("text"))
+    # Copies of one text are one observation.
+    return pairs.filter("text is not null").select("toxic", F.col("text").cast("string").alias("text")).distinct()
 
 
 def held_out(doc_id: Column) -> Column:
@@ -87,11 +90,11 @@ def learn(sample: DataFrame) -> dict:
         return empty
     surprise = -math.log(n_pos / (n_pos + n_neg))
     terms = counts.mapInArrow(_count, "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    good = terms.filter((F.col("pos") * surprise >= SIGNIFICANCE) & (F.col("neg") <= F.col("pos") * PURITY))
+    good = terms.filter((F.col("pos") >= max(SIGNIFICANCE / surprise, SUPPORT * n_pos)) & (F.col("neg") <= F.col("pos") * WORST))
     # Bounded: the MAX_TERMS best terms and their extensions.
     best = good.orderBy(F.desc("pos"), F.length("term"), "term").limit(16 * MAX_TERMS).collect()
     found = choose({r[0]: (int(r[1]), int(r[2])) for r in best})
-    found["fuzzy"] = {w: FUZZY for w in found["words"] if len(w) >= FUZZY_FROM}
+    found["fuzzy"] = {w: FUZZY for w, weight in found["words"].items() if len(w) >= FUZZY_FROM and weight == EXACT}
     if found["fuzzy"]:
         heard = counts.filter("toxic = 0").mapInArrow(partial(_near, found), "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
         for term, n in heard:
@@ -101,23 +104,25 @@ def learn(sample: DataFrame) -> dict:
 
 
 def choose(terms: dict[str, tuple[int, int]]) -> dict:
-    """Of a beginning and its extensions that hold nearly as many toxic texts, the longest; a whole word if it does."""
-    words, stems = {}, {}
-    for term, (pos, _) in sorted(terms.items(), key=lambda x: (len(x[0]), x[0])):
-        if not term.endswith("*"):
+    """Pure terms first, then impure ones that aren't mostly explained by them. Of a beginning and its extensions that hold nearly as many toxic texts, the longest; a whole word if it does."""
+    words: dict[str, float] = {}
+    stems: dict[str, float] = {}
+    pure = lambda t: terms[t][1] <= terms[t][0] * PURITY
+    for term in sorted((t for t in terms if t.endswith("*")), key=lambda t: (not pure(t), len(t), t)):
+        stem, pos = term[:-1], terms[term][0]
+        known = [terms[w][0] for w in words if w.startswith(stem)] + [terms[s + "*"][0] for s in stems if s.startswith(stem)]
+        if any(stem.startswith(s) for s in stems) or max(known, default=0) >= (0.97 if pure(term) else 0.5) * pos:
             continue
-        stem = term[:-1]
-        if any(stem.startswith(s) for s in stems) or any(stem == w[: len(stem)] and terms[w][0] >= 0.97 * pos for w in words):
-            continue
-        whole = max((w for w in terms if not w.endswith("*") and w.startswith(stem)), key=lambda w: terms[w][0], default=None)
-        if whole and terms[whole][0] >= 0.97 * pos:
-            words[whole] = EXACT
-            continue
-        longest = max((t for t in terms if t.endswith("*") and t.startswith(stem) and terms[t][0] >= 0.97 * pos), key=len)
-        stems[longest[:-1]] = EXACT
+        longer = [t for t in terms if t.startswith(stem) and terms[t][0] >= 0.97 * pos and pure(t) >= pure(term)]
+        whole = max((t for t in longer if not t.endswith("*")), key=lambda t: terms[t][0], default=None)
+        if whole:
+            words[whole] = EXACT if pure(whole) else IMPURE
+        else:
+            longest = max((t for t in longer if t.endswith("*")), key=len)
+            stems[longest[:-1]] = EXACT if pure(longest) else IMPURE
     for term in terms:
         if not term.endswith("*") and len(term) < SHORTEST:
-            words[term] = EXACT
+            words[term] = EXACT if pure(term) else IMPURE
     top = sorted(words, key=lambda w: -terms[w][0])[:MAX_TERMS]
     return {"words": {w: words[w] for w in top}, "stems": dict(list(stems.items())[:MAX_TERMS])}
 
@@ -164,6 +169,11 @@ class Matcher:
         self.words, self.stems, self.fuzzy = lexicon["words"], lexicon["stems"], lexicon["fuzzy"]
         self.root = trie(list(self.fuzzy))
         self.lengths = {len(w) + d for w in self.fuzzy for d in ((-1, 0, 1) if len(w) < TWICE_FROM else (-2, -1, 0, 1, 2))}
+        # One edit leaves a word's first or second half whole (two edits: its first or last third, most often); a swap across the middle is listed.
+        cuts = [(w, len(w) // 2, len(w) - len(w) // 2) if len(w) < TWICE_FROM else (w, len(w) // 3, len(w) // 3) for w in self.fuzzy]
+        halves = [re.escape(w[:a]) for w, a, _ in cuts] + [".*" + re.escape(w[-b:]) + "$" for w, _, b in cuts]
+        self.near = re.compile("|".join(halves)) if halves else None
+        self.swapped = {w[: a - 1] + w[a] + w[a - 1] + w[a + 1 :]: w for w, a, _ in cuts}
         self.sizes = sorted({len(s) for s in self.stems})
         self.seen: set[str] = set()
         self.hits: dict[str, tuple[str, float, bool]] = {}
@@ -177,7 +187,9 @@ class Matcher:
         plain = word.translate(LEET) if HARD.search(word) else word
         if plain != word and plain in self.words:
             return plain, self.fuzzy.get(plain, FUZZY), False
-        if len(plain) in self.lengths:
+        if plain in self.swapped:
+            return self.swapped[plain], self.fuzzy[self.swapped[plain]], False
+        if len(plain) in self.lengths and self.near.match(plain):
             near = within(plain, self.root, 1 if len(plain) < TWICE_FROM else 2)
             if near:
                 return near, self.fuzzy[near], False
@@ -204,9 +216,11 @@ class Matcher:
             return 0.0
         spans = list(WORD.finditer(lower))
         words = [m.group() for m in spans]
-        mine, evidence = set(hits), 0.0
+        mine, evidence, heard = set(hits), 0.0, set()
         for i, w in enumerate(words):
-            if w in mine:
+            # A term that clean texts have too counts once a word; one such word is not enough.
+            if w in mine and not (self.hits[w][1] == IMPURE and w in heard):
+                heard.add(w)
                 near = set(words[max(0, i - WINDOW) : i + WINDOW + 1])
                 before, after = lower[max(0, spans[i].start() - 1) : spans[i].start()], lower[spans[i].end() : spans[i].end() + 1]
                 weight = self.hits[w][1]
