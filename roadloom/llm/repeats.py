@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from roadloom.llm.base import cut, mix64, slices, spread, texts
 
-LENGTH, GRAM, HALF, GROUP = 200, 16, 100, 20_000
+LENGTH, GRAM, HALF, GROUP = 200, 16, 100, 100_000
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -120,7 +120,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lo, hi = bounds[of], bounds[of + 1]
             pos = x - lo
             l, r = np.minimum(pos, LENGTH), np.minimum(hi - x, LENGTH)
-            around = mix64(prefix.of(x - l, x + r) + (l * 512 + r).astype(np.uint64)) >> _U(36)
+            around = mix64(prefix.of(x - l, x + r) + (l * 512 + r).astype(np.uint64)) >> _U(37)
             has_r, has_l = np.flatnonzero(r >= HALF), np.flatnonzero(l >= HALF)
             key = np.concatenate((mix64(prefix.of(x[has_r], x[has_r] + HALF) ^ _SALT["R"]), mix64(prefix.of(x[has_l] - HALF, x[has_l]) ^ _SALT["L"])))
             at = np.concatenate((has_r, has_l))
@@ -142,7 +142,11 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             state = np.concatenate((state, np.full(len(extra), BEACON), np.full(len(sure_too), SURE)))
             key, at, kind, f = key[rows], at[rows], kind[rows], f[rows]
             doc, p = ids[of[at]], pos[at]
-            info = (p << 32) | (f << 4) | (kind << 3) | state
+            # An anchor with both halves says on one side only that it is repeated throughout.
+            quiet = (kind == 1) & (r[at] >= HALF)
+            rows = np.flatnonzero(~(quiet & (state == SURE)))
+            key, kind, f, doc, p, state, quiet = key[rows], kind[rows], f[rows], doc[rows], p[rows], state[rows], quiet[rows]
+            info = (p << 32) | (f << 5) | (quiet.astype(np.int64) << 4) | (kind << 3) | state
             route = np.where(state >= CANDIDATE, mix64((doc.astype(np.uint64) << _U(20)) + p.astype(np.uint64)), key)
             yield pa.RecordBatch.from_arrays([pa.array(route.view(np.int64)), pa.array(key.view(np.int64)), pa.array(doc, pa.int64()), pa.array(info)], names=["route", "key", "doc_id", "info"])
 
@@ -153,7 +157,7 @@ def _partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if not got:
         return
     key, doc, info = (np.concatenate(c) for c in zip(*got, strict=True))
-    state, kind, f, pos = info & 7, (info >> 3) & 1, (info >> 4) & (2**28 - 1), info >> 32
+    state, kind, quiet, f, pos = info & 7, (info >> 3) & 1, (info >> 4) & 1, (info >> 5) & (2**27 - 1), info >> 32
     sure, cand = state == SURE, state == CANDIDATE
     looks = np.flatnonzero(state < CANDIDATE)
     if len(looks):
@@ -165,7 +169,7 @@ def _partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run, sub = np.cumsum(new_k) - 1, np.cumsum(new_g) - 1
         whole = ~beacon & ((np.bincount(sub)[sub] > 1) | (s == REP))
         several = np.bincount(run[new_g])[run] > 1
-        sure[looks] = whole
+        sure[looks] = whole & (quiet[looks] == 0)
         cand[looks] = ~beacon & several & new_g
     for mask, flag in ((sure, True), (cand, False)):
         rows = np.flatnonzero(mask)
@@ -327,7 +331,28 @@ def extents(main: list[bytes], other: list[bytes], has_main: np.ndarray, has_oth
     """For suffixes of one half: the least and greatest number of bytes on the open side of a repeated window (greatest -1: none)."""
     n = len(main)
     low, high = np.full(n, HALF + 1), np.full(n, -1)
-    if n <= 12:
+    same: dict[bytes, list[int]] = {}
+    for i in range(n):
+        same.setdefault(main[i] + other[i], []).append(i)
+    for rows in same.values():
+        if len(rows) > 1:
+            i = rows[0]
+            if has_main[i] + has_other[i] >= HALF:
+                low[rows], high[rows] = HALF - has_other[i], has_main[i]
+    if len(same) == 1:
+        return low, high
+    first = np.array([rows[0] for rows in same.values()])
+    lo, hi = _distinct([main[i] for i in first], [other[i] for i in first], has_main[first], has_other[first])
+    for rows, a, b in zip(same.values(), lo.tolist(), hi.tolist(), strict=True):
+        if b >= 0:
+            low[rows], high[rows] = np.minimum(low[rows], a), np.maximum(high[rows], b)
+    return low, high
+
+
+def _distinct(main: list[bytes], other: list[bytes], has_main: np.ndarray, has_other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    n = len(main)
+    low, high = np.full(n, HALF + 1), np.full(n, -1)
+    if n <= 3:
         for i in range(n):
             for j in range(i):
                 a, b = common(main[i], main[j]), HALF - common(other[i], other[j])
@@ -338,19 +363,32 @@ def extents(main: list[bytes], other: list[bytes], has_main: np.ndarray, has_oth
         return low, high
     m = np.frombuffer(b"".join(main), dtype=np.uint8).reshape(n, HALF)
     o = np.frombuffer(b"".join(other), dtype=np.uint8).reshape(n, HALF)
-    hm, ho = np.zeros((n, HALF + 1), dtype=np.uint64), np.zeros((n, HALF + 1), dtype=np.uint64)
+    if n <= 128:
+        def agree(x: np.ndarray) -> np.ndarray:
+            differ = x[:, None, :] != x[None, :, :]
+            return np.where(differ.any(axis=2), differ.argmax(axis=2), HALF)
+
+        top = np.minimum(agree(m), has_main[:, None])
+        bottom = HALF - np.minimum(agree(o), has_other[:, None])
+        fits = bottom <= top
+        np.fill_diagonal(fits, False)
+        return np.where(fits, bottom, HALF + 1).min(axis=1), np.where(fits, top, -1).max(axis=1)
     powers = np.full(HALF, _U(_BASE))
     np.multiply.accumulate(powers, out=powers)
-    np.cumsum(_BYTES[m] * powers, axis=1, out=hm[:, 1:])
-    np.cumsum(_BYTES[o] * powers, axis=1, out=ho[:, 1:])
+    hm = np.zeros(n, dtype=np.uint64)
+    ho = (_BYTES[o] * powers).sum(axis=1, dtype=np.uint64) if n <= 4096 else sum(_BYTES[o[:, j]] * powers[j] for j in range(HALF))
     for a in range(HALF + 1):
         ok = np.flatnonzero((has_main >= a) & (has_other >= HALF - a))
         if len(ok) > 1:
-            h = mix64(hm[ok, a] ^ mix64(ho[ok, HALF - a] + _U(7)))
-            _, inverse, counts = np.unique(h, return_inverse=True, return_counts=True)
-            twice = ok[counts[inverse] > 1]
+            h = mix64(hm[ok] ^ mix64(ho[ok] + _U(7)))
+            order = np.argsort(h, kind="stable")
+            equal = h[order][1:] == h[order][:-1]
+            twice = ok[order[np.concatenate((equal, [False])) | np.concatenate(([False], equal))]]
             low[twice] = np.minimum(low[twice], a)
             high[twice] = np.maximum(high[twice], a)
+        if a < HALF:
+            hm += _BYTES[m[:, a]] * powers[a]
+            ho -= _BYTES[o[:, HALF - a - 1]] * powers[HALF - a - 1]
     return low, high
 
 
@@ -392,20 +430,38 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(h1, h2, doc_id, pos, kind, a): every window of the suffixes of crowded halves, hashed."""
+    """(h, doc_id, pos, kind, a): every window of the suffixes of crowded halves, hashed. Windows that meet in one slice go on as one row, and that they are repeated is said at once (rows without h)."""
+    powers = np.full(HALF, _U(_BASE))
+    np.multiply.accumulate(powers, out=powers)
     for batch in batches:
+        rows = []
         for doc, text, asked in zip(batch.column("doc_id").to_pylist(), texts(batch.column("text")), batch.column("asked").to_pylist(), strict=True):
-            for x in asked:
-                main, other, m, o = suffix(text, x["pos"], x["kind"])
-                span = range(HALF - o, m + 1)
-                head = _header(x["key"], x["kind"])
-                h = [hashlib.blake2b(head + bytes([a]) + main[:a] + other[: HALF - a], digest_size=8).digest() for a in span]
-                if h:
-                    n = len(h)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.frombuffer(b"".join(h), dtype=np.int64)), pa.array([doc] * n, pa.int64()), pa.array([x["pos"]] * n, pa.int64()), pa.array([x["kind"]] * n, pa.int32()), pa.array(list(span), pa.int64())],
-                        names=["h", "doc_id", "pos", "kind", "a"],
-                    )
+            rows += [(doc, x["pos"], x["kind"], x["key"], *suffix(text, x["pos"], x["kind"])) for x in asked]
+        for at in range(0, len(rows), 20_000):
+            part = rows[at : at + 20_000]
+            n = len(part)
+            doc, pos, kind = (np.array([r[i] for r in part], dtype=np.int64) for i in range(3))
+            key = np.array([r[3] for r in part], dtype=np.int64).view(np.uint64) + kind.astype(np.uint64)
+            m = np.frombuffer(b"".join(r[4] for r in part), dtype=np.uint8).reshape(n, HALF)
+            o = np.frombuffer(b"".join(r[5] for r in part), dtype=np.uint8).reshape(n, HALF)
+            has_main, has_other = np.array([r[6] for r in part]), np.array([r[7] for r in part])
+            hm = np.zeros(n, dtype=np.uint64)
+            ho = sum(_BYTES[o[:, j]] * powers[j] for j in range(HALF))
+            for a in range(HALF + 1):
+                ok = np.flatnonzero((has_main >= a) & (has_other >= HALF - a))
+                h = mix64(key[ok] + mix64(hm[ok] ^ mix64(ho[ok] + _U(7))) + _U(a))
+                order = np.argsort(h, kind="stable")
+                ok, h = ok[order], h[order]
+                again = np.concatenate(([False], h[1:] == h[:-1])) if len(h) else np.zeros(0, dtype=bool)
+                more = np.concatenate((again[1:], [False])) if len(h) else again
+                for pick, told in ((~again, True), (again | more, False)):
+                    some = ok[pick]
+                    if len(some):
+                        hashes = pa.array(h[pick].view(np.int64)) if told else pa.nulls(len(some), pa.int64())
+                        yield pa.RecordBatch.from_arrays([hashes, pa.array(doc[some]), pa.array(pos[some]), pa.array(kind[some].astype(np.int32)), pa.array(np.full(len(some), a, dtype=np.int64))], names=["h", "doc_id", "pos", "kind", "a"])
+                if a < HALF:
+                    hm += _BYTES[m[:, a]] * powers[a]
+                    ho -= _BYTES[o[:, HALF - a - 1]] * powers[HALF - a - 1]
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -446,9 +502,10 @@ def repeated_spans(docs: DataFrame, group: int = GROUP) -> DataFrame:
     merged = spread(runs, "part").sortWithinPartitions("part", "run", "seq").mapInArrow(_merge, "doc_id long, start long, stop long")
     spans = sure.unionByName(merged)
     if not crowded.isEmpty():
-        windows = many.mapInArrow(_windows, "h long, doc_id long, pos long, kind int, a long")
-        twice = windows.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-        hit = windows.join(twice, "h").groupBy("doc_id", "pos", "kind").agg(F.min("a").alias("low"), F.max("a").alias("high"))
+        windows = cut(many.mapInArrow(_windows, "h long, doc_id long, pos long, kind int, a long"), "windows")
+        twice = windows.filter("h is not null").groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
+        hit = windows.join(twice, "h", "left_semi").unionByName(windows.filter("h is null"))
+        hit = hit.groupBy("doc_id", "pos", "kind").agg(F.min("a").alias("low"), F.max("a").alias("high"))
         right = F.col("kind") == 0
         spans = spans.unionByName(hit.select("doc_id", F.when(right, F.col("pos") - F.col("high")).otherwise(F.col("pos") - LENGTH + F.col("low")).alias("start"), F.when(right, F.col("pos") + LENGTH - F.col("low")).otherwise(F.col("pos") + F.col("high")).alias("stop")))
     return spans
@@ -457,6 +514,5 @@ def repeated_spans(docs: DataFrame, group: int = GROUP) -> DataFrame:
 def remove_repeats(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    spans = cut(repeated_spans(docs, group), "spans")
-    by_doc = spans.groupBy("doc_id").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    by_doc = repeated_spans(docs, group).groupBy("doc_id").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     return base.join(by_doc, "doc_id", "left").mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
