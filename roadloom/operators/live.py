@@ -37,8 +37,8 @@ def to_tiles(speeds: DataFrame, edge: str, per_tile: int = 1000) -> DataFrame:
 
 
 def last_write(updates: DataFrame, keys: list[str], value: str, order: str) -> DataFrame:
-    """The value with the greatest sequence number of each key."""
-    return updates.groupBy(*keys).agg(F.max_by(value, order).alias(value))
+    """The value with the greatest sequence number of each key (of equal numbers, the greatest value)."""
+    return updates.groupBy(*keys).agg(F.max_by(value, F.struct(order, value)).alias(value))
 
 
 def dense(present: DataFrame, tiles: DataFrame, policy: str = "invalid", p: Params = Params()) -> DataFrame:
