@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from roadloom.llm.base import cut, slices
 
-CAPACITY, SEPARATOR, BUCKETS, SEARCH_BINS = 2048, 0, 64, 1024
+CAPACITY, SEPARATOR, BUCKETS, SEARCH_BINS, PROBES = 2048, 0, 64, 256, 2_000_000
 
 # Texts of these characters only are split into words here and looked up; all others go through the tokenizer whole.
 PLAIN = re.compile(r"[\t\n\r\x20-\x7e¡¿«»À-ÿ]*")
@@ -133,71 +133,73 @@ def start(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...
     return out
 
 
-def improve(bins: list[Bin], capacity: int) -> list[Bin]:
-    """Local search among underfull bins: empties one after another while moves and exchanges allow it."""
-    bins = sorted((sorted(b, reverse=True) for b in bins), key=sum)
-    done: list[Bin] = []
-    while bins:
-        victim = bins[0]
+def improve(bins: list[Bin], capacity: int, spare: int = 1 << 60, probes: int = PROBES) -> list[Bin]:
+    """Local search among underfull bins: takes the emptiest apart while moves and exchanges allow it.
+
+    ``spare`` is how many bins fewer could be reached at all; the search ends
+    there, or after ``probes`` looks at a bin.
+    """
+    bins = sorted((sorted(b) for b in bins), key=sum)
+    fixed: list[Bin] = []
+    while len(bins) > 1 and spare > 0 and probes > 0:
         others = [list(b) for b in bins[1:]]
-        rest = list(victim)
-        progress = True
-        while rest and progress:
-            progress = False
-            others.sort(key=sum, reverse=True)
-            for x in sorted(rest, reverse=True):
-                for b in others:
-                    room = capacity - sum(b)
-                    if x <= room:  # move
-                        b.append(x)
-                        rest.remove(x)
-                        progress = True
-                        break
-                    one = next((y for y in sorted(b) if y < x and x - y <= room), None)
-                    if one is not None:  # one for one: the other bin's fill grows by x - y
-                        b.remove(one)
-                        b.append(x)
-                        rest.remove(x)
-                        rest.append(one)
-                        progress = True
-                        break
-                if progress:
-                    break
-                pairs = ((x, z) for i, z in enumerate(rest) if z < x or rest.index(x) != i)
-                for u, z in pairs:
-                    for b in others:
-                        room = capacity - sum(b)
-                        two = next((y for y in sorted(b, reverse=True) if y < u + z and u + z - y <= room), None)
-                        if two is not None:  # two for one
-                            b.remove(two)
-                            b += [u, z]
-                            rest.remove(u)
-                            rest.remove(z)
-                            rest.append(two)
-                            progress = True
-                            break
-                    if progress:
-                        break
-                if progress:
+        room = [capacity - sum(b) for b in others]
+        rest = list(bins[0])
+        while rest and probes > 0:
+            step = None
+            rest.sort()
+            for x in reversed(rest):
+                fits = [j for j, r in enumerate(room) if x <= r]
+                probes -= len(room)
+                if fits:  # move, into the bin that it fills best
+                    step = (min(fits, key=room.__getitem__), [x], [])
                     break
+            if step is None:
+                gain = 0
+                for x in reversed(rest):  # exchange one for one: the largest gain in squared fill
+                    for j, r in enumerate(room):
+                        probes -= 1
+                        y = next((y for y in others[j] if x - r <= y < x), None)
+                        if y is not None and (x - y) * (2 * (capacity - r) + x - y) > gain:
+                            gain, step = (x - y) * (2 * (capacity - r) + x - y), (j, [x], [y])
+                for k in range(len(rest) - 1):  # two for one, of neighbours in size
+                    u = rest[k] + rest[k + 1]
+                    for j, r in enumerate(room):
+                        probes -= 1
+                        y = next((y for y in others[j] if u - r <= y < u), None)
+                        if y is not None and (u - y) * (2 * (capacity - r) + u - y) > gain:
+                            gain, step = (u - y) * (2 * (capacity - r) + u - y), (j, [rest[k], rest[k + 1]], [y])
+            if step is None:
+                break
+            j, come, go = step
+            for x in come:
+                rest.remove(x)
+            for y in go:
+                others[j].remove(y)
+            others[j] = sorted(others[j] + come)
+            rest += go
+            room[j] = capacity - sum(others[j])
         if rest:
-            done.append(bins.pop(0))
+            fixed.append(bins.pop(0))
         else:
             bins = sorted(others, key=sum)
-    return done
+            spare -= 1
+    return fixed + bins
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY, most: int = SEARCH_BINS) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns with multiplicities that hold exactly the histogram's pieces. The local search takes the ``most`` emptiest underfull bins."""
+    """Patterns with multiplicities that hold exactly the histogram's pieces. The local search takes the ``most`` emptiest underfull bins, and ends when the least possible number of bins is reached."""
     begun = sorted(start(histogram, capacity), key=lambda x: sum(x[0]))
+    least = -(-sum(n * c for n, c in histogram.items()) // capacity)
+    spare = sum(times for _, times in begun) - least
     loose: list[Bin] = []
     kept = []
     for pattern, times in begun:
-        taken = min(times, most - len(loose)) if sum(pattern) < capacity else 0
+        taken = min(times, most - len(loose)) if sum(pattern) < capacity and spare else 0
         loose += [list(pattern)] * taken
         if times > taken:
             kept.append((pattern, times - taken))
-    return kept + [(tuple(b), 1) for b in improve(loose, capacity)]
+    return kept + [(tuple(b), 1) for b in improve(loose, capacity, spare)]
 
 
 def places(patterns: list[tuple[tuple[int, ...], int]]) -> dict[int, tuple[np.ndarray, ...]]:
