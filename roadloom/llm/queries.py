@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadloom.llm import ann, chat, decontaminate, licenses, packing, repeats, secrets, sharding, toxicity
+from roadloom.llm import ann, chat, decontaminate, licenses, oracles, packing, repeats, secrets, sharding, toxicity
 from roadloom.llm.base import table
 from roadloom.llm.minhash import near_duplicates
 
@@ -84,4 +84,10 @@ QUERIES: dict[str, Query] = {
     "op9_multi_index": op9_multi_index,
     "op10_rendezvous_shards": op10_rendezvous_shards,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_minhash_dedup": oracles.OP1,
+    "op2_license_scan": oracles.op2(),
+    "op4_chat_format": oracles.op4(),
+    "op7_secret_scan": oracles.op7(),
+    "op10_rendezvous_shards": oracles.op10(SHARDS),
+}

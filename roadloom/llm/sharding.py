@@ -7,7 +7,7 @@ shard takes records only into itself; a removed one gives away its own only.
 Everything is column expressions. Slots (gapless places within a shard) come
 from two levels: rows are numbered within (shard, bucket) and lifted by the
 number of rows in the shard's earlier buckets, so that no task orders a whole
-shard. The table of bucket counts has shards x buckets rows at most.
+shard. A bucket comes from a hash of key and content. The table of bucket counts has shards x buckets rows at most.
 
 Defined cases: a null key is the key ''; a null text has no bytes and CRC 0;
 repeated rows get the same shard and different slots; an empty table gives an
@@ -19,7 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 256
+# Buckets are named by this many digits of a hash: 16 ** 2 of them.
+BUCKET_DIGITS = 2
 
 
 def unit_hash(*parts: Column) -> Column:
@@ -43,9 +44,9 @@ def rendezvous(key: Column, weights: list[float]) -> Column:
     return (-best["i"]).cast("int")
 
 
-def slots(rows: DataFrame, shard: str, order: list[str], buckets: int = BUCKETS) -> DataFrame:
+def slots(rows: DataFrame, shard: str, order: list[str], digits: int = BUCKET_DIGITS) -> DataFrame:
     """Adds ``slot``: gapless places from 0 within each shard, ordered by bucket and then by ``order``."""
-    spread = rows.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
+    spread = rows.withColumn("_bucket", F.substring(F.md5(F.concat_ws(":", *[F.col(c).cast("string") for c in order[:2]])), 1, digits))
     counts = spread.groupBy(shard, "_bucket").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(shard).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     lifted = counts.select(F.col(shard).alias("_s"), F.col("_bucket").alias("_b"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_lift"))
@@ -55,7 +56,7 @@ def slots(rows: DataFrame, shard: str, order: list[str], buckets: int = BUCKETS)
     return joined.withColumn("slot", (F.col("_rank") + F.col("_lift")).cast("long")).drop("_bucket", "_s", "_b", "_rank", "_lift")
 
 
-def shard_documents(docs: DataFrame, weights: list[float], grown: list[float] | None = None, buckets: int = BUCKETS) -> DataFrame:
+def shard_documents(docs: DataFrame, weights: list[float], grown: list[float] | None = None, digits: int = BUCKET_DIGITS) -> DataFrame:
     """doc_id, size, text_crc32, shard, slot, grown_shard: ``grown`` are the weights after a change of the shard count."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(
@@ -65,5 +66,5 @@ def shard_documents(docs: DataFrame, weights: list[float], grown: list[float] |
     )
     rows = rows.withColumn("shard", rendezvous(F.col("doc_id"), weights))
     after = rendezvous(F.col("doc_id"), grown) if grown else F.lit(None).cast("int")
-    placed = slots(rows, "shard", ["doc_id", "text_crc32", "size"], buckets)
+    placed = slots(rows, "shard", ["doc_id", "text_crc32", "size"], digits)
     return placed.withColumn("grown_shard", after)
