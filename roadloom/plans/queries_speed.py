@@ -436,3 +436,26 @@ def f28(t: Tables) -> DataFrame:
 @query("f04b_slot_of_epoch", "select event_id, cast(((t // 86400 + 4) % 7) * 288 + (t % 86400) // 300 as int) as slot from $hbp")
 def f04b(t: Tables) -> DataFrame:
     return t.hbp.select("event_id", slot_of_epoch(F.col("t")).alias("slot"))
+
+
+@query("x01_x02_batch_path")
+def x01(t: Tables) -> DataFrame:
+    """All batch stages in one plan: (edge_id, slots, mean_kph) of the smoothed profiles."""
+    from roadloom.plans.batch import run
+
+    state = run({"heartbeats": t.hbp, "trips": t.trips}, lambda traces: matcher.RecordedMatcher(matcher.pseudo_match(traces)), P)
+    mean = F.aggregate(F.transform("profile", lambda v: v.cast("double")), F.lit(0.0), lambda a, v: a + v) / F.size("profile")
+    return state.frames["profiles"].select("edge_id", F.size("profile").alias("slots"), r6(mean).alias("mean_kph"))
+
+
+@query("st06_exact_state")
+def st06(t: Tables) -> DataFrame:
+    """Sliding samples kept as state: one batch a file, the last answer of each edge."""
+    path, out = scratch(t.spark, "state"), scratch(t.spark, "states")
+    rows = stream.samples_of(t.hbp, LIVE).select("edge", F.unix_timestamp("ts").cast("double").alias("t"), "speed")
+    for k in range(3):
+        rows.filter(F.col("edge") % 3 == k).coalesce(1).write.mode("append").parquet(path)
+    live_rows = t.spark.readStream.schema("edge int, t double, speed double").option("maxFilesPerTrigger", 1).parquet(path)
+    q = stream.publish_each(stream.exact_state(live_rows, LIVE), scratch(t.spark, "offsets"), lambda df, i: df.write.mode("overwrite").parquet(f"{out}/batch={i}")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return t.spark.read.parquet(out).select("edge", "now", r6("speed_kph").alias("speed_kph"), "samples")
