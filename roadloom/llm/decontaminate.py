@@ -1,8 +1,9 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 Words are runs of letters and digits, lower-cased. Every three-word seed of a
-benchmark item is counted in the whole corpus; an item's rarer half (by count)
-are its seeds. A passage with at least ``SEEDS`` different seeds of an item
+benchmark item is counted in the whole corpus; an item's rare seeds are those
+that occur, but not much more often than its lower quartile (``OFTEN`` times,
+plus ``FEW``). A passage with at least ``SEEDS`` different seeds of an item
 (all, if it has fewer) within the item's length is aligned with the item by
 words (match 2, mismatch -1, gap -1). The score is the alignment's, divided by
 that of a perfect copy; ``THRESHOLD`` and above is a copy, edited or not.
@@ -35,7 +36,8 @@ from pyspark.sql import functions as F
 from roadloom.llm.base import cut, mix64, slices, texts
 from roadloom.llm.shingles import word_hashes
 
-SEED_WORDS, SEEDS, THRESHOLD, BLOCK_BYTES = 3, 2, 0.5, 8_000_000
+SEED_WORDS, SEEDS, THRESHOLD, BLOCK_BYTES = 3, 2, 0.4, 8_000_000
+OFTEN, FEW = 4, 16
 MATCH, MISMATCH, GAP = 2, -1, -1
 
 _U = np.uint64
@@ -71,16 +73,17 @@ class Index:
         self.use(set(range(len(items))), None)
 
     def use(self, some: set[int], counts: dict[int, int] | None) -> None:
-        """Index every seed, or each item's rarer half by ``counts``."""
+        """Index every seed, or each item's rare ones by ``counts``."""
         pairs: dict[int, list[tuple[int, int]]] = {}
         self.need = {}
         for i in some:
             s = self.seeds[i]
-            kept = np.unique(s)
-            if counts is not None and len(kept) > 1:
-                kept = np.array(sorted(kept.tolist(), key=lambda h: (counts.get(h, 0), h))[: max(SEEDS, (len(kept) + 1) // 2)], dtype=np.uint64)
-            self.need[i] = min(SEEDS, len(kept))
-            chosen = set(kept.tolist())
+            chosen = set(s.tolist())
+            self.need[i] = min(SEEDS, len(chosen))
+            if counts is not None:
+                heard = sorted(counts[h] for h in chosen if h in counts)
+                most = OFTEN * heard[len(heard) // 4] + FEW if heard else 0
+                chosen = {h for h in chosen if 0 < counts.get(h, 0) <= most}
             for place, h in enumerate(s.tolist()):
                 if h in chosen:
                     pairs.setdefault(h, []).append((i, place))
