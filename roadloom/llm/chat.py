@@ -25,6 +25,7 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -90,17 +91,27 @@ def layout(record: Column) -> Column:
 TURNS_TYPE = "array<struct<role:string,text:string>>"
 
 
+def _turn(role: str, text: str) -> Callable[[Column], Column]:
+    """An element of a message list as (role, text)."""
+
+    def make(x: Column) -> Column:
+        r = F.try_variant_get(x, f"$.{role}", "string")
+        named = F.coalesce(*[F.when(r == old, F.lit(new)) for old, new in ROLES.items()], r, F.lit(""))
+        return F.struct(named.alias("role"), F.coalesce(F.try_variant_get(x, f"$.{text}", "string"), F.lit("")).alias("text"))
+
+    return make
+
+
 def turns_from_json(records: DataFrame, key: str, json: str) -> DataFrame:
     """(key, layout, turns): JSON strings of any known layout as canonical turns, in order."""
     v = F.try_parse_json(F.col(json))
     got = records.select(F.col(key), v.alias("_v")).withColumn("_f", layout(F.col("_v")))
     name, turns = F.lit(None).cast("string"), F.array().cast(TURNS_TYPE)
-    role_of = lambda r: F.coalesce(*[F.when(r == old, F.lit(new)) for old, new in ROLES.items()], r, F.lit(""))
     for m in MAPPINGS:
         if "many" in m:
             array, role, text = m["many"]
             items = F.try_variant_get(F.col("_v"), f"$.{array}", "array<variant>")
-            made = F.transform(items, lambda x, role=role, text=text: F.struct(role_of(F.try_variant_get(x, f"$.{role}", "string")).alias("role"), F.coalesce(F.try_variant_get(x, f"$.{text}", "string"), F.lit("")).alias("text")))
+            made = F.transform(items, _turn(role, text))
         else:
             made = F.array(*[F.struct(F.lit(role).alias("role"), F.array_join(F.filter(F.array(*[F.try_variant_get(F.col("_v"), f"$.{p}", "string") for p in ps]), lambda s: s != ""), "\n\n").alias("text")) for role, ps in m["single"]])
         mine = F.col("_f") == fingerprint(paths_of(m))
