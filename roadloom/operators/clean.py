@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadloom.functions.text import first_number, is_missing, wkt_point
+from roadloom.operators.ranking import numbered, quantiles
 from roadloom.params import Params
 
 
@@ -55,13 +56,14 @@ def invalid_trip(s_lat: Column, s_lon: Column, e_lat: Column, e_lon: Column, nea
 def drop_outliers(df: DataFrame, fare: str, columns: list[str], p: Params = Params()) -> DataFrame:
     """fare <= bound, and each column at most Q99 + (Q99 - Q1), all limits from the same input. A null fails.
 
-    The limits are one aggregate row, joined by broadcast.
+    The quantiles are exact, from a distributed order of each column; the
+    limits go into the filter as numbers, so that it is pushed down.
     """
-    limits = df.agg(*[F.percentile(c, F.array(F.lit(0.01), F.lit(0.99))).alias(f"_q_{c}") for c in columns])
-    tops = limits.select(*[(F.col(f"_q_{c}")[1] * 2 - F.col(f"_q_{c}")[0]).alias(f"_top_{c}") for c in columns])
-    joined = df.join(F.broadcast(tops))
-    kept = joined.filter(reduce(lambda a, b: a & b, [F.col(c) <= F.col(f"_top_{c}") for c in columns], F.col(fare) <= p.fare_upper_bound))
-    return kept.drop(*tops.columns)
+    kept = F.col(fare) <= p.fare_upper_bound
+    for c in columns:
+        low, high = quantiles(df, c, [0.01, 0.99])
+        kept = kept & (F.col(c) <= 2 * high - low if high is not None else F.lit(False))
+    return df.filter(kept)
 
 
 def missing_counts(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -85,11 +87,11 @@ def dedup_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 def extend_ids(known: DataFrame, ids: DataFrame, key: str = "id", name: str = "name", prefix: str = "Car") -> DataFrame:
     """Known (id, name) plus unseen ids, which get the next numbers in id order.
 
-    Only the unseen ids are numbered; their number is the window's size.
+    Numbering goes by ranges of the ids, not through one task.
     """
     fresh = ids.select(key).filter(F.col(key).isNotNull()).distinct().join(known.select(key), key, "left_anti")
     base = known.agg(F.count("*").alias("_n"))
-    ranked = fresh.withColumn("_r", F.row_number().over(Window.orderBy(key))).join(F.broadcast(base))
+    ranked = numbered(fresh, [key], "_r").join(F.broadcast(base))
     return known.select(key, name).unionByName(ranked.select(key, F.concat(F.lit(prefix), (F.col("_n") + F.col("_r")).cast("string")).alias(name)))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from roadloom.operators.ranking import numbered
+
 BUCKET_S = 4 * 3600
 
 
@@ -49,16 +51,10 @@ def traces(points: DataFrame, key: str, t: str, *others: str) -> DataFrame:
     return points.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(t, *others))).alias("points"))
 
 
-def runs(points: DataFrame, key: str, order: str) -> DataFrame:
-    """Numbers contiguous runs of equal keys in a global order of rows (gaps and islands within blocks of the order)."""
-    w = Window.orderBy(order)
-    new = F.coalesce(F.lag(key).over(w) != F.col(key), F.lit(True)).cast("int")
-    return points.withColumn("_new", new).withColumn("run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
-
-
 def sample_trips(points: DataFrame, key: str, rate: float, seed: int = 0) -> DataFrame:
     """int(n * rate) traces without replacement: those with the least seeded hash. The same call gives the same sample."""
     ids = points.select(key).distinct()
     n = ids.count()
-    chosen = ids.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(int(n * rate))
+    hashed = ids.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed)))
+    chosen = numbered(hashed, ["_h", key], "_r").filter(F.col("_r") <= int(n * rate)).select(key)
     return points.join(chosen, key, "left_semi")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from roadloom.functions import text as tx
 from roadloom.functions import timeslot as ts
 from roadloom.functions.graphid import pseudo_edge, pseudo_edge_single, tile_base
-from roadloom.operators import clean, live, trips
+from roadloom.operators import clean, live, ranking, trips
 from roadloom.params import Params
 from roadloom.plans.registry import query
 from roadloom.plans.views import Tables
@@ -289,7 +289,7 @@ def w04(t: Tables) -> DataFrame:
 
 @query("w09_runs", "select vehicle, cast(run as bigint) as run, count(*) as n from (select vehicle, sum(case when vehicle is distinct from prev then 1 else 0 end) over (order by event_id) as run from (select event_id, vehicle, lag(vehicle) over (order by event_id) as prev from $hbp) a) b group by vehicle, run")
 def w09(t: Tables) -> DataFrame:
-    return trips.runs(t.hbp.select("event_id", "vehicle"), "vehicle", "event_id").groupBy("vehicle", "run").agg(F.count("*").alias("n"))
+    return ranking.runs(t.hbp.select("event_id", "vehicle"), "vehicle", "event_id").groupBy("vehicle", "run").agg(F.count("*").alias("n"))
 
 
 @query("s01_s02_sorted", "select meter_id, event_id, row_number() over (partition by meter_id order by server_time, event_id) as place from $hb")

@@ -211,3 +211,23 @@ def test_toggles(spark):
     assert state.observed["clean"].get["rows"] == 1
     with pytest.raises(ValueError, match="needs points"):
         batch.run({"heartbeats": hb, "trips": t}, m, Params(), {"clean": False})
+
+
+def test_global_orders(spark):
+    import random
+
+    from roadloom.operators import ranking
+
+    rng = random.Random(0)
+    rows = [(i, rng.choice("ab") if i % 50 else None, float(rng.randrange(40))) for i in range(500)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "i int, k string, v double")
+    assert {(r.i, r.number) for r in ranking.numbered(df, ["i"]).collect()} == {(i, i + 1) for i in range(500)}
+    run, last, want = 0, object(), {}
+    for i, k, _ in sorted(rows, key=lambda r: r[0]):
+        run += k != last
+        want[i], last = run, k
+    assert {r.i: r.run for r in ranking.runs(df, "k", "i").collect()} == want
+    at = [0.0, 0.01, 0.25, 0.5, 0.99, 1.0]
+    assert ranking.quantiles(df, "v", at) == pytest.approx(np.quantile([r[2] for r in rows], at).tolist())
+    assert ranking.quantiles(df.filter("false"), "v", [0.5]) == [None]
