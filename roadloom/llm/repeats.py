@@ -26,8 +26,8 @@ content-defined subset of all:
 Defined cases: a null or empty text has no bytes and keeps none (the hash is
 that of no bytes); texts under 200 bytes lose nothing; repeated rows are
 repeats of each other and go altogether; matches are judged on the input, so
-all copies go; an empty table gives an empty result; further columns are
-ignored.
+all copies go; a row without doc_id matches nothing and loses nothing; an empty
+table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
