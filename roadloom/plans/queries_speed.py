@@ -459,3 +459,50 @@ def st06(t: Tables) -> DataFrame:
     q = stream.publish_each(stream.exact_state(live_rows, LIVE), scratch(t.spark, "offsets"), lambda df, i: df.write.mode("overwrite").parquet(f"{out}/batch={i}")).trigger(availableNow=True).start()
     q.awaitTermination()
     return t.spark.read.parquet(out).select("edge", "now", r6("speed_kph").alias("speed_kph"), "samples")
+
+
+@query("snk15_snk16_publish_swap", f"select 7::bigint as tile, cast(g.i as int) as edge_index, (coalesce({REC}, 268435455) & ~(127::bigint | (255::bigint << 28))) | 33 | (255::bigint << 28) as record, 2::bigint as last_update from (select unnest(range(105)) as i) g left join rec on rec.edge_index = g.i", LAST)
+def snk15(t: Tables) -> DataFrame:
+    """Two publications; what ``current`` then points to."""
+    folder = scratch(t.spark, "published").removeprefix("file://").removeprefix("file:")
+    tile = live.dense(_records(t), _tiles(t))
+    sinks.publish(tile, folder, updated=1)
+    sinks.publish(live.upsert_constant(tile, 33), folder, updated=2)
+    t.spark.dataSource.register(TileTar)
+    return t.spark.read.format("tile_tar").load(f"{folder}/current")
+
+
+@query("snk05_u01_partials", "select edge_no, slot, count(*) as n, sum(speed_kph) as total from $obs group by edge_no, slot")
+def snk05(t: Tables) -> DataFrame:
+    """Partial results in files, read together and aggregated again."""
+    path = scratch(t.spark, "partials")
+    for k in range(3):
+        part = t.obs.filter(F.col("seq") % 3 == k).groupBy("edge_no", "slot").agg(F.count("*").alias("n"), F.sum("speed_kph").alias("total"))
+        part.write.mode("append").parquet(path)
+    return t.spark.read.parquet(path).groupBy("edge_no", "slot").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+
+
+@query("st07_st08_published_batches", "select batch, count(*) as rows, count(distinct vehicle) as vehicles from (select vehicle, vehicle % 2 as batch from $hbp) x group by batch")
+def st07(t: Tables) -> DataFrame:
+    """A file a micro-batch, each published under its batch id with its counters."""
+    path, out = scratch(t.spark, "feed"), scratch(t.spark, "counters")
+    for k in range(2):
+        t.hbp.filter(F.col("vehicle") % 2 == k).coalesce(1).write.parquet(f"{path}/{k}")
+    feed = t.spark.readStream.schema(t.hbp.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(path)
+
+    def publish(df: DataFrame, batch: int) -> None:
+        df.groupBy((F.col("vehicle") % 2).alias("batch")).agg(F.count("*").alias("rows"), F.count_distinct("vehicle").alias("vehicles")).write.mode("overwrite").parquet(f"{out}/batch_id={batch}")
+
+    stream.publish_each(feed, scratch(t.spark, "offsets"), publish, mode="append").trigger(availableNow=True).start().awaitTermination()
+    return t.spark.read.parquet(out).select("batch", "rows", "vehicles")
+
+
+@query("st03_state_expiry", """select edge, max(t) as now, count(*) as kept from (select cast(cast(trunc(abs(lat) * 100000::double + abs(lon) * 100000::double) as bigint) % 10000 as int) as edge, t, max(t) over (partition by cast(trunc(abs(lat) * 100000::double + abs(lon) * 100000::double) as bigint) % 10000) as m
+  from $hbp where lat between 22 and 22.6 and lon between 113.8 and 114.3 and speed between 0 and 150) x where t > m - 3600 group by edge""")
+def st03(t: Tables) -> DataFrame:
+    """What an edge's state keeps at its last sample: strictly younger than the window."""
+    from pyspark.sql import Window
+
+    rows = stream.samples_of(t.hbp, LIVE).select("edge", F.unix_seconds("ts").alias("t"))
+    last = rows.withColumn("m", F.max("t").over(Window.partitionBy("edge")))
+    return last.filter(F.col("t") > F.col("m") - LIVE.window_s).groupBy("edge").agg(F.max("t").alias("now"), F.count("*").alias("kept"))
