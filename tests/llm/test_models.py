@@ -126,10 +126,11 @@ def vectors(n=1500, size=16):
     return rows + [rows[0], rows[7]]
 
 
-def test_recall(spark):
+@pytest.mark.parametrize("visit", [None, 600])
+def test_recall(spark, visit):
     rows = vectors()
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("cell", F.lit("clash"))
-    got = ann.search(df, df.filter("vec_id % 20 = 0"), top=10, visit=600, part=100).collect()
+    got = ann.search(df, df.filter("vec_id % 20 = 0"), top=10, visit=visit, unit=100).collect()
     good = {i: np.array(v, dtype=np.float64) for i, v in rows[:1500]}
     ids = np.array(sorted(good))
     x = np.array([good[i] for i in ids])
