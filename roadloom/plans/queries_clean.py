@@ -260,7 +260,7 @@ def j02(t: Tables) -> DataFrame:
 @query("j03_lookup", "select event_id, case when vehicle < 15 then concat('Car', cast(vehicle + 1 as varchar)) end as car from $hbp")
 def j03(t: Tables) -> DataFrame:
     ids = t.hbp.select("vehicle").distinct().filter("vehicle < 15").select("vehicle", F.concat(F.lit("Car"), (F.col("vehicle") + 1).cast("string")).alias("car"))
-    return t.hbp.join(F.broadcast(ids), "vehicle", "left").select("event_id", "car")
+    return t.hbp.join(ids, "vehicle", "left").select("event_id", "car")
 
 
 @query("j04_a11_extend_ids", """select id, name from (select distinct meter_id as id, concat('Car', cast(row_number() over (order by meter_id) as varchar)) as name from (select distinct meter_id from $hb where event_id % 20 < 5)) k
