@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -21,13 +23,23 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder that driver and executors share (spark.checkpoint.dir; a temporary one only where that is unset)."""
-    import tempfile
-    import uuid
+_OWN: dict[str, str] = {}
+
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share.
+
+    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset (single-machine tests) a temporary
+    folder is made, one for each application.
+    """
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
-        at = tempfile.mkdtemp(prefix="roadloom-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return f"{at.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        app = spark.sparkContext.applicationId
+        at = _OWN.setdefault(app, "") or tempfile.mkdtemp(prefix="roadloom-")
+        _OWN[app] = at
+    return at.rstrip("/")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
