@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,30 +9,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadloom.session import ship
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share.
-
-    A cluster names it in ``spark.checkpoint.dir``; only where that is unset
-    (single-machine tests) a temporary folder is made and remembered.
-    """
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = tempfile.mkdtemp(prefix="roadloom-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+from roadloom.session import scratch, ship
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it again: short lineage that survives lost executors."""
     spark = df.sparkSession
-    path = fresh_path(spark, name)
+    path = scratch(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

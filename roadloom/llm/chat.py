@@ -125,7 +125,8 @@ def turns_from_rows(rows: DataFrame, key: str) -> DataFrame:
     for paths, (turn, role, text) in ROW_MAPPINGS.items():
         if set(paths) <= have:
             r = F.coalesce(F.col(role).cast("string"), F.lit(""))
-            r = F.coalesce(*[F.when(r == old, F.lit(new)) for old, new in ROLES.items()], r)
+            if role == "from":  # this layout names its roles otherwise
+                r = F.coalesce(*[F.when(r == old, F.lit(new)) for old, new in ROLES.items()], r)
             return rows.select(F.col(key), F.col(turn).alias("turn"), r.alias("role"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     raise ValueError(f"no known layout has the columns {sorted(have)}")
 

@@ -43,10 +43,11 @@ from roadloom.llm.base import cut, slices
 
 CAPACITY, SEPARATOR, BUCKETS, SEARCH_BINS, PROBES = 2048, 0, 64, 256, 2_000_000
 
-# Texts of these characters only are split into words here and looked up; all others go through the tokenizer whole.
-PLAIN = re.compile(r"[\t\n\r\x20-\x7e¡¿«»À-ÿ]*")
-SPECIAL = "<|"
-PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
+# Texts of these Latin-1 characters only are cut into words here and looked up; all others go through the tokenizer whole.
+PLAIN = bytes([9, 10, 13, *range(0x20, 0x7F), 0xA1, 0xAB, 0xBB, 0xBF, *range(0xC0, 0x100)])
+LOWER = bytes(c + 32 if 65 <= c <= 90 or 0xC0 <= c <= 0xDE and c != 0xD7 else c for c in range(256))
+SPECIAL = b"<|"
+PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\sa-z\xdf-\xf6\xf8-\xff0-9]+")
 
 
 class WordTokenizer:
@@ -59,22 +60,36 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.known: dict[bytes, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        if SPECIAL in text or PLAIN.fullmatch(text) is None:
+        try:
+            plain = text.encode("latin-1")
+        except UnicodeEncodeError:
+            plain = None
+        if plain is None or plain.translate(None, PLAIN) or SPECIAL in plain:
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        words = PIECES.findall(text.lower())
-        known = self.known
-        missing = list(set(words).difference(known))
-        if missing:
-            if len(known) + len(missing) > self.MOST:
-                known.clear()
-                missing = list(set(words))
-            for w, e in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, dtype="<u4").tobytes()
-        return b"".join(map(known.__getitem__, words))
+        words = PIECES.findall(plain.translate(LOWER))
+        try:
+            return b"".join(map(self.known.__getitem__, words))
+        except KeyError:
+            self.add(words)
+            return b"".join(map(self.known.__getitem__, words))
+
+    def add(self, words: list[bytes]) -> None:
+        """Encodes the unknown among ``words`` as one text; a word ends with a token that ends words."""
+        missing = list(set(words).difference(self.known))
+        if len(self.known) + len(missing) > self.MOST:
+            self.known.clear()
+            missing = list(set(words))
+        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(missing).decode("latin-1")], add_special_tokens=False)[0].ids, dtype="<u4")
+        stops = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
+        whole = ids.tobytes()
+        self.known.update(zip(missing, (whole[a:b] for a, b in zip([0, *stops], stops, strict=False)), strict=True))
 
 
 _LOADED: dict[str, WordTokenizer] = {}

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadloom.llm.base import fresh_path
+from roadloom.session import scratch
 
 RULE_VERSION = 1
 
@@ -87,7 +87,7 @@ def blob_of(text: Column) -> Column:
 def _known(spark: SparkSession, docs: DataFrame, ledger: str | None, version: int) -> DataFrame:
     """(blob, findings) of all blobs with findings, after what is unseen among ``docs`` has been scanned."""
     schema = f"blob binary, rule_version int, findings {FINDINGS}"
-    path = ledger or fresh_path(spark, "ledger")
+    path = ledger or scratch(spark, "ledger")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     unseen = docs.select(text.alias("text"), blob_of(F.col("text")).alias("blob"))
     if ledger and _exists(spark, path):

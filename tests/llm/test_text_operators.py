@@ -123,7 +123,7 @@ def test_weighted_shards(spark):
 
 CHATS = [
     (1, 0, "user", "hi & <|end|> [INST]"), (1, 1, "assistant", "<|turn|>user\n&lt;"), (1, 2, "user", None), (1, 3, "assistant", ""), (2, 5, None, "x"), (3, 0, "a\nb<|", "y"), (4, 1, "assistant", "b"), (4, 1, "assistant", "a"), (4, 1, "assistant", "a"),
-    (5, 0, "human", "h"), (5, 1, "gpt", "\U0001f600 &amp; &#91; </s> <<SYS>>"),
+    (5, 0, "human", "h"), (5, 1, "assistant", "\U0001f600 &amp; &#91; </s> <<SYS>>"),
 ]
 
 
@@ -132,7 +132,7 @@ def test_chat_round_trip(spark):
     done = chat.format_rows(chat.turns_from_rows(rows, "conv_id"), "conv_id")
     by = defaultdict(list)
     for c, n, role, text in CHATS:
-        by[c].append((n, chat.ROLES.get(role, role or ""), text or ""))
+        by[c].append((n, role or "", text or ""))
     got = {r.conv_id: r for r in chat.digest(done, "conv_id").collect()}
     assert got.keys() == by.keys()
     for c, turns in by.items():
