@@ -30,14 +30,13 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadloom.llm.base import cut, grouped, mix64, spread
+from roadloom.llm.base import cut, grouped, Lean, mix64, spread
 
 FIT_ROWS, MOST_K, SEED = 20_000, 128, 5
 # Vectors in a unit of work: the table over UNITS, within these bounds.
@@ -152,7 +151,7 @@ def _true(queries: list[tuple[int, np.ndarray]], size: int, top: int, batches: I
 def visits(index: dict, entries: DataFrame, asked: DataFrame, sizes: dict[int, int], top: int, recall: float = RECALL) -> int:
     """How many vectors a query must visit to meet the share ``recall`` of true neighbours, from ``TRIAL`` queries."""
     trial = [(int(r[0]), np.array(r[1], dtype=np.float64)) for r in asked.orderBy(F.xxhash64("vec_id", F.lit(1)), "vec_id").limit(TRIAL).collect()]
-    near = entries.mapInArrow(partial(_true, trial, index["size"], top), "query_id long, d double, vec_id long, cell long")
+    near = entries.mapInArrow(Lean(_true, trial, index["size"], top), "query_id long, d double, vec_id long, cell long")
     best = lambda df, *keys: df.groupBy(*keys).agg(F.slice(F.array_sort(F.collect_set(F.struct("d", "vec_id", "cell"))), 1, top).alias("t")).select("query_id", F.explode("t").alias("x")).select("query_id", "x.*")
     salted = near.withColumn("_salt", F.spark_partition_id() % 64)
     found: dict[int, list[int]] = {}
@@ -245,18 +244,18 @@ def search(vectors: DataFrame, queries: DataFrame, top: int = 10, visit: int | N
     if index is None:
         return base.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score")).limit(0)
     sized = lambda df: df.filter(F.size("v") == index["size"])
-    entries = cut(sized(base).mapInArrow(partial(_assign, index), "vec_id long, v array<double>, cell long"), "imi")
+    entries = cut(sized(base).mapInArrow(Lean(_assign, index), "vec_id long, v array<double>, cell long"), "imi")
     # Bounded: K x K cells at most.
     sizes = {int(c): int(n) for c, n in entries.groupBy("cell").count().collect()}
     units = units_of(sizes, unit or min(MOST_UNIT, max(LEAST_UNIT, sum(sizes.values()) // UNITS)))
     asked = sized(shape(queries))
     visit = visits(index, entries, asked, sizes, top) if visit is None else visit
     kind = "vec_id long, v array<double>, unit long, cells array<long>, asks boolean"
-    stored = entries.mapInArrow(partial(_store, units), kind)
-    routed = spread(asked, "vec_id").mapInArrow(partial(_route, index, sizes, units, visit), kind)
+    stored = entries.mapInArrow(Lean(_store, units), kind)
+    routed = spread(asked, "vec_id").mapInArrow(Lean(_route, index, sizes, units, visit), kind)
     work = spread(stored.unionByName(routed), "unit").sortWithinPartitions("unit")
     cells = len(index["books"][0]) * len(index["books"][1])
-    near = work.mapInArrow(partial(_rerank, index["size"], cells, top), "query_id long, vec_id long, score double")
+    near = work.mapInArrow(Lean(_rerank, index["size"], cells, top), "query_id long, vec_id long, score double")
     # A query has ``top`` rows a visited unit; sets drop what repeated queries repeat.
     best = near.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_set(F.struct("score", "vec_id"))), 1, top).alias("t"))
     out = best.select("query_id", F.posexplode("t").alias("p", "x"))

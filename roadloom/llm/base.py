@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +32,22 @@ def spread(df: DataFrame, *cols: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *cols)
 
 
+class Lean:
+    """A function of Arrow batches (after fixed arguments) whose worker gives memory back when a partition ends: workers are kept for later tasks."""
+
+    def __init__(self, f: Callable[..., Iterator[pa.RecordBatch]], *fixed: object):
+        self.f, self.fixed = f, fixed
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from self.f(*self.fixed, batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+                ctypes.CDLL(None).malloc_trim(0)
+
+
 def texts(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column, null as empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]

@@ -26,14 +26,13 @@ ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadloom.llm.base import cut, mix64, slices, texts
+from roadloom.llm.base import cut, Lean, mix64, slices, texts
 from roadloom.llm.shingles import word_hashes
 
 SEED_WORDS, SEEDS, THRESHOLD, BLOCK_BYTES = 3, 2, 0.4, 8_000_000
@@ -212,8 +211,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
         # Bounded: about block_bytes of text.
         mine = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id").collect()
         index = Index([(r[0], r[1].encode()) for r in mine])
-        counts = base.mapInArrow(partial(_count, index), "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).collect()
+        counts = base.mapInArrow(Lean(_count, index), "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).collect()
         index.use({i for i, w in enumerate(index.words) if len(w)}, {int(s) & (2**64 - 1): int(n) for s, n in counts})
-        found = cut(base.mapInArrow(partial(_find, index, threshold), SCHEMA), "contaminated")
+        found = cut(base.mapInArrow(Lean(_find, index, threshold), SCHEMA), "contaminated")
         out = found if out is None else out.unionByName(found)
     return out

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadloom.llm.base import components, cut, grouped, mix64, slices, spread, texts
+from roadloom.llm.base import components, cut, grouped, Lean, mix64, slices, spread, texts
 from roadloom.llm.shingles import overlap, shingle_sets
 
 COORDS, ROWS, MATCHES, BLOCK = 36, 4, 2, 256
@@ -120,10 +120,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, block: int =
 
     Assumes that one doc_id means one text (repeated rows are fine).
     """
-    from functools import partial
-
+    
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = cut(base.mapInArrow(partial(_sign, k), "doc_id long, n_shingles long, f1 long, f2 long, coords array<long>"), "minhash")
+    signed = cut(base.mapInArrow(Lean(_sign, k), "doc_id long, n_shingles long, f1 long, f2 long, coords array<long>"), "minhash")
     live = signed.filter("n_shingles > 0 and doc_id is not null")
     classes = cut(live.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep")), "classes")
     reps = classes.select(F.col("rep").alias("doc_id"))
@@ -141,7 +140,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, block: int =
     text = base.join(whole, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     work = units.join(text, "doc_id").join(sigs, "doc_id")
     work = spread(work, "unit").sortWithinPartitions("unit")
-    links = cut(work.mapInArrow(partial(_confirm, k, percent), "a long, b long"), "links")
+    links = cut(work.mapInArrow(Lean(_confirm, k, percent), "a long, b long"), "links")
     found = components(links, "links")
     least = found.groupBy("root").agg(F.min("node").alias("component"))
     linked = found.join(least, "root").select(F.col("node").alias("rep"), "component")

@@ -32,14 +32,13 @@ import zlib
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadloom.llm.base import cut, slices
+from roadloom.llm.base import cut, Lean, slices
 
 CAPACITY, SEPARATOR, BUCKETS, SEARCH_BINS, PROBES = 2048, 0, 64, 256, 2_000_000
 
@@ -53,7 +52,7 @@ PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^
 class WordTokenizer:
     """Ids of a lower-casing word-level BPE file, with a bounded memory of words; equal to the library's own encoding of whole texts."""
 
-    MOST = 500_000
+    MOST = 400_000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -117,7 +116,7 @@ def _pieces(path: str, capacity: int, separator: int, batches: Iterator[pa.Recor
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, separator: int = SEPARATOR) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return base.mapInArrow(partial(_pieces, tokenizer, capacity, separator), "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return base.mapInArrow(Lean(_pieces, tokenizer, capacity, separator), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 Bin = list[int]
@@ -265,4 +264,4 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, separator: i
     inside = F.row_number().over(Window.partitionBy("length", "_bucket").orderBy("doc_id", "piece", "ids_crc32")) - 1
     ranked = bucketed.withColumn("_in", inside).join(F.broadcast(lifts), (F.col("length") == F.col("l")) & (F.col("_bucket") == F.col("b")))
     rows = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("_in") + F.col("lift")).cast("long").alias("_rank"))
-    return rows.mapInArrow(partial(_place, where), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return rows.mapInArrow(Lean(_place, where), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

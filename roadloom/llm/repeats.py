@@ -34,14 +34,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadloom.llm.base import cut, mix64, slices, spread, texts
+from roadloom.llm.base import cut, Lean, mix64, slices, spread, texts
 
 LENGTH, GRAM, HALF, GROUP = 200, 16, 100, 100_000
 
@@ -488,8 +487,8 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_spans(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """(doc_id, start, stop): stretches of repeated bytes; they overlap."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null")
-    rows = base.filter(F.octet_length("text") >= LENGTH).mapInArrow(_rows, "route long, key long, doc_id long, info long")
-    marked = cut(spread(rows, "route").select("key", "doc_id", "info").mapInArrow(_partners, "key long, doc_id long, pos int, kind int, sure boolean"), "anchors")
+    rows = base.filter(F.octet_length("text") >= LENGTH).mapInArrow(Lean(_rows), "route long, key long, doc_id long, info long")
+    marked = cut(spread(rows, "route").select("key", "doc_id", "info").mapInArrow(Lean(_partners), "key long, doc_id long, pos int, kind int, sure boolean"), "anchors")
     sure = marked.filter("sure").select("doc_id", F.greatest(F.col("pos") - LENGTH, F.lit(0)).cast("long").alias("start"), (F.col("pos") + LENGTH).cast("long").alias("stop"))
     cands = marked.filter("not sure")
     crowded = cands.groupBy("key", "kind").agg(F.count("*").alias("n")).filter(F.col("n") > group).select("key", "kind", F.lit(True).alias("crowded"))
@@ -498,11 +497,11 @@ def repeated_spans(docs: DataFrame, group: int = GROUP) -> DataFrame:
     few = work.select("doc_id", "text", F.filter("all", lambda x: x["crowded"].isNull()).alias("asked")).filter(F.size("asked") > 0)
     many = work.select("doc_id", "text", F.filter("all", lambda x: x["crowded"].isNotNull()).alias("asked")).filter(F.size("asked") > 0)
     parts = max(64, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    runs = few.mapInArrow(partial(_runs, parts), "part int, run long, seq int, block binary")
-    merged = spread(runs, "part").sortWithinPartitions("part", "run", "seq").mapInArrow(_merge, "doc_id long, start long, stop long")
+    runs = few.mapInArrow(Lean(_runs, parts), "part int, run long, seq int, block binary")
+    merged = spread(runs, "part").sortWithinPartitions("part", "run", "seq").mapInArrow(Lean(_merge), "doc_id long, start long, stop long")
     spans = sure.unionByName(merged)
     if not crowded.isEmpty():
-        windows = cut(many.mapInArrow(_windows, "h long, doc_id long, pos long, kind int, a long"), "windows")
+        windows = cut(many.mapInArrow(Lean(_windows), "h long, doc_id long, pos long, kind int, a long"), "windows")
         twice = windows.filter("h is not null").groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
         hit = windows.join(twice, "h", "left_semi").unionByName(windows.filter("h is null"))
         hit = hit.groupBy("doc_id", "pos", "kind").agg(F.min("a").alias("low"), F.max("a").alias("high"))
@@ -515,4 +514,4 @@ def remove_repeats(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     by_doc = repeated_spans(docs, group).groupBy("doc_id").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
-    return base.join(by_doc, "doc_id", "left").mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return base.join(by_doc, "doc_id", "left").mapInArrow(Lean(_remove), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

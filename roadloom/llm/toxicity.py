@@ -27,12 +27,13 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roadloom.llm.base import Lean, slices
+
 FIT_ROWS, MAX_TERMS, SIGNIFICANCE, SUPPORT = 12_000, 512, 12.0, 0.03
 # Clean texts for each toxic one that a term may stand in: for full weight, and at all.
 PURITY, WORST = 0.005, 0.12
@@ -58,7 +59,7 @@ def features(words: set[str]) -> set[str]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole, "text", 16_000_000)):
         pos: Counter[str] = Counter()
         neg: Counter[str] = Counter()
         for toxic, text in zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist(), strict=True):
@@ -89,14 +90,14 @@ def learn(sample: DataFrame) -> dict:
     if not n_pos or not n_neg:
         return empty
     surprise = -math.log(n_pos / (n_pos + n_neg))
-    terms = counts.mapInArrow(_count, "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    terms = counts.mapInArrow(Lean(_count), "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     good = terms.filter((F.col("pos") >= max(SIGNIFICANCE / surprise, SUPPORT * n_pos)) & (F.col("neg") <= F.col("pos") * WORST))
     # Bounded: the MAX_TERMS best terms and their extensions.
     best = good.orderBy(F.desc("pos"), F.length("term"), "term").limit(16 * MAX_TERMS).collect()
     found = choose({r[0]: (int(r[1]), int(r[2])) for r in best})
     found["fuzzy"] = {w: FUZZY for w, weight in found["words"].items() if len(w) >= FUZZY_FROM and weight == EXACT}
     if found["fuzzy"]:
-        heard = counts.filter("toxic = 0").mapInArrow(partial(_near, found), "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+        heard = counts.filter("toxic = 0").mapInArrow(Lean(_near, found), "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
         for term, n in heard:
             if n > max(1, 0.001 * n_neg):
                 found["fuzzy"].pop(term, None)
@@ -163,7 +164,7 @@ def within(word: str, root: dict, most: int) -> str | None:
 class Matcher:
     """Looks words up: (term, weight, exact), remembered for a bounded number of distinct words."""
 
-    MOST = 400_000
+    MOST = 300_000
 
     def __init__(self, lexicon: dict):
         self.words, self.stems, self.fuzzy = lexicon["words"], lexicon["stems"], lexicon["fuzzy"]
@@ -237,7 +238,7 @@ class Matcher:
 def _near(lexicon: dict, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For clean texts: in how many each term's misspellings turn up."""
     m = Matcher(lexicon)
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole, "text")):
         heard: Counter[str] = Counter()
         for text in batch.column("text").to_pylist():
             heard.update({m.hits[w][0] for w in m.add(set(WORD.findall(text.lower()))) if not m.hits[w][2]})
@@ -247,7 +248,7 @@ def _near(lexicon: dict, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 
 def _score(lexicon: dict, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     m = Matcher(lexicon)
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole, "text")):
         scores = [m.score(t) if t else 0.0 for t in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
@@ -255,18 +256,16 @@ def _score(lexicon: dict, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
 def score(docs: DataFrame, lexicon: dict) -> DataFrame:
     """doc_id, score for every row."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return base.mapInArrow(partial(_score, lexicon), "doc_id long, score double")
+    return base.mapInArrow(Lean(_score, lexicon), "doc_id long, score double")
 
 
 def _keep(lexicon: dict, threshold: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     m = Matcher(lexicon)
-    at = None
-    for batch in batches:
-        at = batch.schema.get_field_index("text") if at is None else at
-        keep = [(m.score(t) if t else 0.0) < threshold for t in batch.column(at).to_pylist()]
+    for batch in (part for whole in batches for part in slices(whole, "text")):
+        keep = [(m.score(t) if t else 0.0) < threshold for t in batch.column("text").to_pylist()]
         yield batch.filter(pa.array(keep, pa.bool_()))
 
 
 def reject(docs: DataFrame, lexicon: dict, threshold: float = THRESHOLD) -> DataFrame:
     """The rows, whole and with all columns, whose text scores under the threshold."""
-    return docs.mapInArrow(partial(_keep, lexicon, threshold), docs.schema)
+    return docs.mapInArrow(Lean(_keep, lexicon, threshold), docs.schema)
