@@ -13,9 +13,12 @@ counted over whole signatures, pairs under the match threshold and pairs that
 are already connected are skipped, and what remains is confirmed on the full
 sets.
 
-Groups above ``BLOCK`` documents are cut into blocks, and every pair of blocks
-is a unit of work of its own, so no task ever holds more than two blocks.
-Identical sets are collapsed to their least document first.
+Groups above ``BLOCK`` documents are cut into blocks. First each block is a unit
+of work, with the group's least document in all of them, which connects a group
+of copies at a cost in proportion to its size. Only documents that are not in
+the group's largest part by then are compared with all blocks, a pair of blocks
+a unit; no task ever holds more than two blocks, and no link is lost. Identical
+sets are collapsed to their least document first.
 
 Recall: at similarity 0.8 a coordinate agrees with probability 0.41, so a pair
 has fewer than 2 of 36 agreements with probability 1.5e-7.
@@ -131,16 +134,36 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, block: int =
     lists = posted.groupBy("value").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("value", "first")
     ties = posted.join(lists, "value").filter("first < doc_id").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
     groups = cut(components(ties, "candidates"), "groups")
-    sizes = groups.groupBy("root").agg(F.count("*").alias("size"))
-    member = groups.join(sizes, "root").select(F.col("node").alias("doc_id"), "root", F.ceil(F.col("size") / block).cast("int").alias("blocks"))
-    mine = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
-    units = member.withColumn("side", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    units = units.select("doc_id", "side", F.xxhash64("root", F.least("side", "other"), F.greatest("side", "other")).alias("unit"))
+    sizes = groups.groupBy("root").agg(F.count("*").alias("size"), F.min("node").alias("leader"))
+    placed = groups.join(sizes, "root").select(F.col("node").alias("doc_id"), "root", "leader", F.ceil(F.col("size") / block).cast("int").alias("blocks"))
+    placed = placed.withColumn("side", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     whole = groups.select(F.col("node").alias("doc_id"))
     text = base.join(whole, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    work = units.join(text, "doc_id").join(sigs, "doc_id")
-    work = spread(work, "unit").sortWithinPartitions("unit")
-    links = cut(work.mapInArrow(Lean(_confirm, k, percent), "a long, b long"), "links")
+
+    def confirmed(units: DataFrame, name: str) -> DataFrame:
+        """Links of (doc_id, unit, side): pairs of one side's documents, or between two sides."""
+        work = spread(units.join(text, "doc_id").join(sigs, "doc_id"), "unit").sortWithinPartitions("unit")
+        return cut(work.mapInArrow(Lean(_confirm, k, percent), "a long, b long"), name)
+
+    # First every block by itself, with the group's leader in each: a group of copies is connected after this.
+    own = placed.select("doc_id", F.xxhash64("root", "side").alias("unit"), F.lit(0).alias("side"))
+    lead = placed.filter("doc_id = leader and blocks > 1").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).filter("other != side")
+    links = confirmed(own.unionByName(lead.select("doc_id", F.xxhash64("root", "other").alias("unit"), F.lit(0).alias("side"))), "links")
+    if not sizes.filter(F.col("size") > block).isEmpty():
+        # Then what is not connected to a group's largest part, against everything.
+        parts = components(links, "parts")
+        hot = placed.filter("blocks > 1").join(parts.select(F.col("node").alias("doc_id"), F.col("root").alias("part")), "doc_id", "left")
+        hot = hot.select("doc_id", F.col("root"), F.coalesce("part", "doc_id").alias("part"))
+        tally = hot.groupBy("root", "part").agg(F.count("*").alias("c"))
+        largest = tally.groupBy("root").agg(F.max(F.struct("c", "part")).alias("m"), F.sum("c").alias("total"))
+        open_ = largest.filter("m.c < total").select("root", F.col("m.part").alias("largest"), F.ceil(F.col("m.c") / block).cast("int").alias("nb"), F.ceil((F.col("total") - F.col("m.c")) / block).cast("int").alias("rb"))
+        rows = hot.join(open_, "root")
+        inside = F.col("part") == F.col("largest")
+        number = F.when(inside, F.pmod(F.xxhash64("doc_id"), F.col("nb"))).otherwise(F.col("nb") + F.pmod(F.xxhash64("doc_id"), F.col("rb"))).cast("int")
+        facing = F.sequence(F.when(inside, F.col("nb")).otherwise(F.lit(0)), F.col("nb") + F.col("rb") - 1)
+        pairs = rows.select("doc_id", "root", number.alias("side"), F.explode(facing).alias("other"))
+        more = pairs.select("doc_id", "side", F.xxhash64("root", F.least("side", "other"), F.greatest("side", "other"), F.lit(2)).alias("unit"))
+        links = links.unionByName(confirmed(more, "more"))
     found = components(links, "links")
     least = found.groupBy("root").agg(F.min("node").alias("component"))
     linked = found.join(least, "root").select(F.col("node").alias("rep"), "component")

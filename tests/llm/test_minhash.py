@@ -72,3 +72,25 @@ def test_components_of_chains(spark):
     for i, x in enumerate(order):
         groups.setdefault(got[x], set()).add(i // 50)
     assert len(groups) == 6 and all(len(g) == 1 for g in groups.values())
+
+
+def test_hot_group_with_outsiders(spark):
+    """A large group of copies, and documents that meet it on some coordinates without being linked, or only to each other."""
+    import random
+
+    rng = random.Random(21)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+
+    def edited(n):
+        out = list(base)
+        for i in rng.sample(range(len(out)), n):
+            out[i] = f"e{rng.randrange(10**6)}"
+        return out
+
+    rows = [(i, " ".join(edited(3))) for i in range(60)]
+    far = edited(14)
+    rows += [(100 + i, " ".join(edited(14))) for i in range(20)] + [(200, " ".join(far)), (201, " ".join(far[:-1] + ["last"]))]
+    want = brute(rows, 2)
+    assert len({c for _, c in want.values()}) > 1
+    got = near_duplicates(frame(spark, rows), k=2, block=8).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want

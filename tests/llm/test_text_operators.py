@@ -91,7 +91,7 @@ def test_ledger_grows_by_unseen_blobs(spark, tmp_path):
 def test_redaction(spark):
     rows = {r.doc_id: r for r in secrets.redact(spark, frame(spark, [*SECRETS, (7, None), (8, "clean")])).collect()}
     assert rows[1].text == '[assign]" token:abc secret:token: abcdef [assign]' and rows[1].n_chars == len(rows[1].text)
-    assert rows[3].text == "[hex] \x01\x02 [hex]" and rows[7].text is None and rows[8].text == "clean" and rows[8].findings == "clash"
+    assert rows[3].text == "[hex] \x01\x02 [hex]" and rows[7].text is None and rows[8].text == "clean" and rows[8].findings == rows[8]._own == "clash"
 
 
 def test_shards(spark):
