@@ -27,6 +27,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have (names differ by more than case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def spread(df: DataFrame, *cols: str) -> DataFrame:
     """Deal rows by a hash of ``cols`` over as many partitions as the session's shuffles have."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *cols)

@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadloom.llm.base import unused
 from roadloom.session import scratch
 
 RULE_VERSION = 1
@@ -103,9 +104,10 @@ def _known(spark: SparkSession, docs: DataFrame, ledger: str | None, version: in
 
 def redact(spark: SparkSession, docs: DataFrame, ledger: str | None = None, version: int = RULE_VERSION) -> DataFrame:
     """The rows with all columns; every finding in ``text`` is replaced by its kind in brackets, and ``n_chars``, if there, is counted again."""
-    known = _known(spark, docs, ledger, version).select(F.col("blob").alias("_blob"), F.col("findings").alias("_findings"))
-    rows = docs.withColumn("_own", blob_of(F.col("text"))).join(known, F.col("_own") == F.col("_blob"), "left")
-    found = F.coalesce(F.col("_findings"), F.array().cast(FINDINGS))
+    own, blob, spans = (unused(docs, n) for n in ("_own", "_blob", "_spans"))
+    known = _known(spark, docs, ledger, version).select(F.col("blob").alias(blob), F.col("findings").alias(spans))
+    rows = docs.withColumn(own, blob_of(F.col("text"))).join(known, F.col(own) == F.col(blob), "left")
+    found = F.coalesce(F.col(spans), F.array().cast(FINDINGS))
     rows = rows.withColumn("text", redacted(F.col("text"), found))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
