@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadloom.llm import decontaminate, packing, secrets, toxicity
-from roadloom.llm.base import cut, table
+from roadloom.llm.base import cut, table, unused
 from roadloom.llm.minhash import near_duplicates
 from roadloom.llm.queries import tokenizer_path
 
@@ -28,8 +28,9 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows whose doc_id isn't among ``ids``; rows without one stay."""
-    gone = ids.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    name = unused(docs, "_gone")
+    gone = ids.select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,11 +42,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     found = near_duplicates(docs, k=5, percent=80)
     kept = _without(docs, found.filter("not kept").select("doc_id"))
     # A doc_id that is there several times is one document.
-    again = docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 and doc_id is not null").select(F.col("doc_id").alias("_again"))
+    name = unused(docs, "_again")
+    counts = docs.select("doc_id").groupBy("doc_id").agg(F.count("*").alias(name))
+    again = counts.filter((F.col(name) > 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias(name))
     if again.isEmpty():
         return kept
-    once = kept.join(again, F.col("doc_id") == F.col("_again"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(again, F.col("doc_id") == F.col("_again"), "left_anti").unionByName(once)
+    once = kept.join(again, F.col("doc_id") == F.col(name), "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(again, F.col("doc_id") == F.col(name), "left_anti").unionByName(once)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
