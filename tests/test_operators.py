@@ -231,3 +231,31 @@ def test_global_orders(spark):
     at = [0.0, 0.01, 0.25, 0.5, 0.99, 1.0]
     assert ranking.quantiles(df, "v", at) == pytest.approx(np.quantile([r[2] for r in rows], at).tolist())
     assert ranking.quantiles(df.filter("false"), "v", [0.5]) == [None]
+
+
+def test_heartbeat_file_stream(spark, tmp_path):
+    """A CSV feed, parsed and drained, gives the rows of the batch reader."""
+    rows = [("1", "m", "POINT(114.0 22.3)", "1", "30", "2025-02-28 16:00:00", None), ("2", "m", "POINT(114.0)", "1", "30", None, None), ("3", "m", "POINT(114.0 23.3)", "", "", None, None), ("4", "n", "POINT(114.1 22.4)", "", "", None, None)]
+    path = str(tmp_path / "feed")
+    spark.createDataFrame(rows, src.HEARTBEAT).write.option("header", True).csv(path)
+    want = sorted(map(str, src.parse_heartbeats(src.table_csv(spark, path, src.HEARTBEAT)).collect()))
+    stream.run_once(src.parse_heartbeats(src.heartbeat_stream(spark, path)), str(tmp_path / "c"), str(tmp_path / "out"))
+    assert sorted(map(str, spark.read.parquet(str(tmp_path / "out")).collect())) == want
+    assert len(want) == 2
+
+
+def test_late_samples_close_windows(spark, tmp_path):
+    """A sample older than the watermark is left out; windows are given out once."""
+    from pyspark.sql import functions as F
+
+    p = Params(window_s=60, interval_s=60)
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    put = lambda rows, n: spark.createDataFrame(rows, "edge int, speed double, s long").select("edge", "speed", F.timestamp_seconds("s").alias("ts")).coalesce(1).write.parquet(f"{path}/{n}")
+    feed = lambda: spark.readStream.schema("edge int, speed double, ts timestamp").option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(path)
+    for n, rows in enumerate([[(1, 30.0, 10), (1, 50.0, 40)], [(1, 20.0, 1000)], [(1, 99.0, 15), (1, 20.0, 2000)], [(1, 20.0, 3000)]]):
+        put(rows, n)
+        stream.run_once(stream.windowed_speeds(feed(), p), str(tmp_path / "c"), out)
+    got = {r.window_end: (r.speed_kph, r.samples) for r in spark.read.parquet(out).collect()}
+    assert set(got) >= {60, 1020}
+    w = [max(0.1, 1 - 50 / 60), 1 - 20 / 60]
+    assert got[60] == (pytest.approx((w[0] * 30 + w[1] * 50) / sum(w)), 2)
