@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadloom.session import scratch
+from roadloom.session import is_small, scratch
 
 
 def in_ranges(df: DataFrame, order: list[str]) -> DataFrame:
@@ -54,8 +54,16 @@ def quantiles(df: DataFrame, column: str, at: list[float]) -> list[float | None]
 
     Equal values are counted first; then the distinct values are ordered in
     ranges, and only those that hold a needed rank come to the driver (two for
-    each quantile).
+    each quantile). A small input is aggregated at once.
     """
+    if is_small(df):
+        got = df.agg(F.percentile(F.col(column).cast("double"), F.array(*[F.lit(q) for q in at]))).first()[0]
+        return got if got is not None else [None] * len(at)
+    return ranged_quantiles(df, column, at)
+
+
+def ranged_quantiles(df: DataFrame, column: str, at: list[float]) -> list[float | None]:
+    """The quantiles of an input of any size."""
     counted = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("v")).agg(F.count("*").alias("c"))
     rows = in_ranges(counted, ["v"])
     sizes = rows.groupBy("_range").agg(F.sum("c").alias("_n"))

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def ship(spark: SparkSession) -> SparkSession:
@@ -43,3 +43,11 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+SMALL_BYTES = 64 << 20
+
+
+def is_small(df: DataFrame, most: int = SMALL_BYTES) -> bool:
+    """Whether the optimizer knows that a plan's input has at most ``most`` bytes."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= most

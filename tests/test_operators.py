@@ -229,8 +229,9 @@ def test_global_orders(spark):
         want[i], last = run, k
     assert {r.i: r.run for r in ranking.runs(df, "k", "i").collect()} == want
     at = [0.0, 0.01, 0.25, 0.5, 0.99, 1.0]
-    assert ranking.quantiles(df, "v", at) == pytest.approx(np.quantile([r[2] for r in rows], at).tolist())
-    assert ranking.quantiles(df.filter("false"), "v", [0.5]) == [None]
+    for f in (ranking.quantiles, ranking.ranged_quantiles):
+        assert f(df, "v", at) == pytest.approx(np.quantile([r[2] for r in rows], at).tolist())
+        assert f(df.filter("false"), "v", [0.5]) == [None]
 
 
 def test_heartbeat_file_stream(spark, tmp_path):
