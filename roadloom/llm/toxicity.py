@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadloom.llm.base import Lean, slices
+from roadloom.llm.base import Lean, cut, slices
 
 FIT_ROWS, MAX_TERMS, SIGNIFICANCE, SUPPORT = 12_000, 512, 12.0, 0.03
 # Clean texts for each toxic one that a term may stand in: for full weight, and at all.
@@ -83,7 +83,8 @@ def held_out(doc_id: Column) -> Column:
 
 def learn(sample: DataFrame) -> dict:
     """The lexicon: {"words": {...}, "stems": {...}} with weights, and {"fuzzy": {word: weight}}."""
-    counts = sample.select("toxic", F.coalesce("text", F.lit("")).alias("text"))
+    # Written once: the corpus is not read again for each count.
+    counts = cut(sample.select("toxic", F.coalesce("text", F.lit("")).alias("text")), "labelled")
     total = {int(r[0]): int(r[1]) for r in counts.groupBy("toxic").count().collect()}
     n_pos, n_neg = total.get(1, 0), total.get(0, 0)
     empty = {"words": {}, "stems": {}, "fuzzy": {}}
