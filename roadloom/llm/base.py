@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadloom.session import scratch, ship
+from roadloom.session import is_small, scratch, ship
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
@@ -24,7 +24,10 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    """A Parquet table. A small one in few files often is a single row group, which one task would read and work on; its rows are dealt out over the cores first."""
+    df = ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if is_small(df) and len(df.inputFiles()) < cores else df
 
 
 def unused(df: DataFrame, name: str) -> str:
