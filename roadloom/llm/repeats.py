@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from roadloom.llm.base import cut, Lean, mix64, slices, spread, texts
 
-LENGTH, GRAM, HALF, GROUP = 200, 16, 100, 100_000
+LENGTH, GRAM, HALF, GROUP, SLICE = 200, 16, 100, 100_000, 1_000_000
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -104,9 +104,9 @@ def anchors(buf: np.ndarray, bounds: np.ndarray, prefix: Prefix) -> np.ndarray:
 NORMAL, REP, BEACON, CANDIDATE, SURE = range(5)
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _rows(slice_bytes: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for batch in slices(whole, "text", 1_000_000):
+        for batch in slices(whole, "text", slice_bytes):
             docs = texts(batch.column("text"))
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             bounds = np.concatenate(([0], np.cumsum([len(d) for d in docs]))).astype(np.int64)
@@ -119,12 +119,12 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lo, hi = bounds[of], bounds[of + 1]
             pos = x - lo
             l, r = np.minimum(pos, LENGTH), np.minimum(hi - x, LENGTH)
-            around = mix64(prefix.of(x - l, x + r) + (l * 512 + r).astype(np.uint64)) >> _U(37)
+            around = mix64(prefix.of(x - l, x + r) + (l * 512 + r).astype(np.uint64))
             has_r, has_l = np.flatnonzero(r >= HALF), np.flatnonzero(l >= HALF)
             key = np.concatenate((mix64(prefix.of(x[has_r], x[has_r] + HALF) ^ _SALT["R"]), mix64(prefix.of(x[has_l] - HALF, x[has_l]) ^ _SALT["L"])))
             at = np.concatenate((has_r, has_l))
             kind = np.concatenate((np.zeros(len(has_r), dtype=np.int64), np.ones(len(has_l), dtype=np.int64)))
-            f = around[at].astype(np.int64)
+            f = around[at].view(np.int64)
             order = np.lexsort((f, key))
             key, at, kind, f = key[order], at[order], kind[order], f[order]
             new_key = np.concatenate(([True], key[1:] != key[:-1]))
@@ -141,22 +141,21 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             state = np.concatenate((state, np.full(len(extra), BEACON), np.full(len(sure_too), SURE)))
             key, at, kind, f = key[rows], at[rows], kind[rows], f[rows]
             doc, p = ids[of[at]], pos[at]
-            # An anchor with both halves says on one side only that it is repeated throughout.
-            quiet = (kind == 1) & (r[at] >= HALF)
-            rows = np.flatnonzero(~(quiet & (state == SURE)))
-            key, kind, f, doc, p, state, quiet = key[rows], kind[rows], f[rows], doc[rows], p[rows], state[rows], quiet[rows]
-            info = (p << 32) | (f << 5) | (quiet.astype(np.int64) << 4) | (kind << 3) | state
+            # An anchor that is repeated within the slice is so on both sides; with both halves, one side says it.
+            rows = np.flatnonzero(~((kind == 1) & (r[at] >= HALF) & (state == SURE)))
+            key, kind, f, doc, p, state = key[rows], kind[rows], f[rows], doc[rows], p[rows], state[rows]
+            info = (p << 4) | (kind << 3) | state
             route = np.where(state >= CANDIDATE, mix64((doc.astype(np.uint64) << _U(20)) + p.astype(np.uint64)), key)
-            yield pa.RecordBatch.from_arrays([pa.array(route.view(np.int64)), pa.array(key.view(np.int64)), pa.array(doc, pa.int64()), pa.array(info)], names=["route", "key", "doc_id", "info"])
+            yield pa.RecordBatch.from_arrays([pa.array(route.view(np.int64)), pa.array(key.view(np.int64)), pa.array(f), pa.array(doc, pa.int64()), pa.array(info)], names=["route", "key", "f", "doc_id", "info"])
 
 
 def _partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, doc_id, pos, kind, sure): anchors repeated throughout, and candidates."""
-    got = [(b.column("key").to_numpy(), b.column("doc_id").to_numpy(), b.column("info").to_numpy()) for b in batches if b.num_rows]
+    got = [tuple(b.column(c).to_numpy() for c in ("key", "f", "doc_id", "info")) for b in batches if b.num_rows]
     if not got:
         return
-    key, doc, info = (np.concatenate(c) for c in zip(*got, strict=True))
-    state, kind, quiet, f, pos = info & 7, (info >> 3) & 1, (info >> 4) & 1, (info >> 5) & (2**27 - 1), info >> 32
+    key, f, doc, info = (np.concatenate(c) for c in zip(*got, strict=True))
+    state, kind, pos = info & 7, (info >> 3) & 1, info >> 4
     sure, cand = state == SURE, state == CANDIDATE
     looks = np.flatnonzero(state < CANDIDATE)
     if len(looks):
@@ -168,7 +167,7 @@ def _partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run, sub = np.cumsum(new_k) - 1, np.cumsum(new_g) - 1
         whole = ~beacon & ((np.bincount(sub)[sub] > 1) | (s == REP))
         several = np.bincount(run[new_g])[run] > 1
-        sure[looks] = whole & (quiet[looks] == 0)
+        sure[looks] = whole
         cand[looks] = ~beacon & several & new_g
     for mask, flag in ((sure, True), (cand, False)):
         rows = np.flatnonzero(mask)
@@ -484,11 +483,11 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.string())], names=names)
 
 
-def repeated_spans(docs: DataFrame, group: int = GROUP) -> DataFrame:
+def repeated_spans(docs: DataFrame, group: int = GROUP, slice_bytes: int = SLICE) -> DataFrame:
     """(doc_id, start, stop): stretches of repeated bytes; they overlap."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null")
-    rows = base.filter(F.octet_length("text") >= LENGTH).mapInArrow(Lean(_rows), "route long, key long, doc_id long, info long")
-    marked = cut(spread(rows, "route").select("key", "doc_id", "info").mapInArrow(Lean(_partners), "key long, doc_id long, pos int, kind int, sure boolean"), "anchors")
+    rows = base.filter(F.octet_length("text") >= LENGTH).mapInArrow(Lean(_rows, slice_bytes), "route long, key long, f long, doc_id long, info long")
+    marked = cut(spread(rows, "route").select("key", "f", "doc_id", "info").mapInArrow(Lean(_partners), "key long, doc_id long, pos int, kind int, sure boolean"), "anchors")
     sure = marked.filter("sure").select("doc_id", F.greatest(F.col("pos") - LENGTH, F.lit(0)).cast("long").alias("start"), (F.col("pos") + LENGTH).cast("long").alias("stop"))
     cands = marked.filter("not sure")
     crowded = cands.groupBy("key", "kind").agg(F.count("*").alias("n")).filter(F.col("n") > group).select("key", "kind", F.lit(True).alias("crowded"))
@@ -510,8 +509,8 @@ def repeated_spans(docs: DataFrame, group: int = GROUP) -> DataFrame:
     return spans
 
 
-def remove_repeats(docs: DataFrame, group: int = GROUP) -> DataFrame:
+def remove_repeats(docs: DataFrame, group: int = GROUP, slice_bytes: int = SLICE) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    by_doc = repeated_spans(docs, group).groupBy("doc_id").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    by_doc = repeated_spans(docs, group, slice_bytes).groupBy("doc_id").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     return base.join(by_doc, "doc_id", "left").mapInArrow(Lean(_remove), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

@@ -48,14 +48,29 @@ def mixed(seed):
     return rows + [(1000 + i, some(rng.randint(50, 400)) + passage + some(rng.randint(50, 400))) for i in range(150)]
 
 
+@pytest.mark.parametrize("slice_bytes", [1_000_000, 3_000, 1])
 @pytest.mark.parametrize("group", [100_000, 4])
-def test_brute_force(spark, group):
-    """Groups over 128 suffixes, and (with a small bound) the crowded path."""
+def test_brute_force(spark, group, slice_bytes):
+    """Groups over 128 suffixes, (with a small bound) the crowded path, and copies in one slice or in several."""
     rows = mixed(1)
-    got = sorted(map(tuple, repeats.remove_repeats(frame(spark, rows), group).collect()))
+    got = sorted(map(tuple, repeats.remove_repeats(frame(spark, rows), group, slice_bytes).collect()))
     assert got == brute(rows)
 
 
+def test_copies_over_slices(spark):
+    """Pairs of copies that meet others of their passage in their own slice on one side of an anchor only."""
+    rng = random.Random(8)
+    some = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = some(900)
+    docs = [some(rng.randint(0, 180)) + passage[rng.randint(0, 300) :] + some(rng.randint(0, 60)) for _ in range(60)]
+    docs += [docs[i] for i in rng.sample(range(60), 30)]
+    rng.shuffle(docs)
+    rows = list(enumerate(docs))
+    for slice_bytes in (2_000, 20_000):
+        got = sorted(map(tuple, repeats.remove_repeats(frame(spark, rows), slice_bytes=slice_bytes).collect()))
+        assert got == brute(rows)
+
+
 def test_awkward_documents(spark):
     rows = [r for r in documents(1) if r[0] != 3007]
     got = sorted(map(tuple, repeats.remove_repeats(frame(spark, rows)).collect()))
