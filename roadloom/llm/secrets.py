@@ -11,8 +11,8 @@ before and after the shuffle), so a pair of blob and rule version is scanned
 once ever. Texts that the ledger knows are neither shuffled nor scanned.
 
 Findings are found by column expressions: each rule wraps its matches in two
-marker characters, the text is split at them, and running lengths of the
-pieces are the places. (Markers that occur in the text itself are first
+marker characters, the text is split at them, and running sums of the pieces'
+lengths are the places. (Markers that occur in the text itself are first
 replaced by another control character, which no rule can match either.)
 
 Defined cases: a null text is the empty blob and has no findings; repeated
@@ -22,7 +22,9 @@ further columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roadloom.llm.base import unused
@@ -47,31 +49,43 @@ GATE = r"(?i)password|passwd|secret|token|api_?key|akia|[0-9a-f]{24}|eyj|gh[pous
 FINDINGS = "array<struct<start:int,kind_no:int,kind:string,end:int>>"
 
 _OPEN, _CLOSE, _SAFE = "\x01", "\x02", "\x03"
+# How a text's own markers are written while it is redacted; none of these characters is in any rule.
+_ESCAPES = [("\x03", "\x03\x06"), ("\x01", "\x03\x04"), ("\x02", "\x03\x05")]
+
+
+def _pieces(text: Column, pattern: str) -> Column:
+    """A text without markers, cut before and after each match: outside, match, outside, match, ..., outside."""
+    return F.split(F.regexp_replace(text, pattern, f"{_OPEN}$0{_CLOSE}"), f"[{_OPEN}{_CLOSE}]")
+
 
+def _counts(piece: Column, i: Column, pattern: str, least: int, least_last: int) -> Column:
+    """Whether a piece is a match that is long enough."""
+    fits = (i % 2 == 1) & (F.length(piece) >= least)
+    return fits & (F.length(F.regexp_extract(piece, pattern, 2)) >= least_last) if least_last else fits
 
-def _spans(text: Column, kind: str, pattern: str, least: int, least_last: int) -> Column:
-    """array<struct<start,kind_no,kind,end>> of one rule in a text without markers."""
-    number = [k for k, *_ in RULES].index(kind)
-    pieces = F.split(F.regexp_replace(text, pattern, f"{_OPEN}$0{_CLOSE}"), f"[{_OPEN}{_CLOSE}]")
-    # Pieces alternate: outside, match, outside, match, ..., outside.
-    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("i"), F.array().cast(FINDINGS).alias("found"))
 
-    def step(acc: Column, piece: Column) -> Column:
-        size = F.length(piece)
-        fits = (acc["i"] % 2 == 1) & (size >= least)
-        if least_last:
-            fits = fits & (F.length(F.regexp_extract(piece, pattern, 2)) >= least_last)
-        one = F.array(F.struct(acc["at"].alias("start"), F.lit(number).alias("kind_no"), F.lit(kind).alias("kind"), (acc["at"] + size).alias("end")))
-        return F.struct((acc["at"] + size).alias("at"), (acc["i"] + 1).alias("i"), F.when(fits, F.concat(acc["found"], one)).otherwise(acc["found"]).alias("found"))
+def _rule_pieces(rule: int) -> Callable[[Column, Column], Column]:
+    """Of a piece: its rule, place, length and whether it counts."""
+    _, pattern, least, least_last = RULES[rule]
+    return lambda piece, i: F.struct(F.lit(rule).alias("rule"), i.alias("i"), F.length(piece).alias("n"), _counts(piece, i, pattern, least, least_last).alias("ok"))
 
-    return F.aggregate(pieces, zero, step, lambda acc: acc["found"])
 
+def findings(blobs: DataFrame) -> DataFrame:
+    """(blob, findings) of (blob, text): all rules' spans, by start, then by the rules' order.
 
-def findings(text: Column) -> Column:
-    """All rules' spans in a text, by start, then by the rules' order; null where there are none for sure."""
-    safe = F.translate(text, _OPEN + _CLOSE, _SAFE * 2)
-    every = F.array_sort(F.concat(*[_spans(safe, *rule) for rule in RULES]))
-    return F.when(text.rlike(GATE), every)
+    A text that passes the gate becomes a row for each piece of each rule, and
+    running sums of their lengths are the places, so the work is in proportion
+    to the text however many matches it has. Other texts are one row.
+    """
+    safe = F.translate("text", _OPEN + _CLOSE, _SAFE * 2)
+    every = F.concat(*[F.transform(_pieces(safe, pattern), _rule_pieces(k)) for k, (_, pattern, _, _) in enumerate(RULES)])
+    rows = blobs.select("blob", F.explode_outer(F.when(F.col("text").rlike(GATE), every)).alias("x")).select("blob", "x.*")
+    before = Window.partitionBy("blob", "rule").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("n").over(before), F.lit(0)).cast("int")
+    placed = rows.select("blob", "rule", "n", "ok", start.alias("start"))
+    kind = F.element_at(F.array(*[F.lit(k) for k, *_ in RULES]), F.col("rule") + 1)
+    span = F.when(F.col("ok"), F.struct("start", F.col("rule").alias("kind_no"), kind.alias("kind"), (F.col("start") + F.col("n")).alias("end")))
+    return placed.groupBy("blob").agg(F.array_sort(F.collect_list(span)).alias("findings"))
 
 
 def scan(spark: SparkSession, docs: DataFrame, ledger: str | None = None, version: int = RULE_VERSION) -> DataFrame:
@@ -96,8 +110,7 @@ def _known(spark: SparkSession, docs: DataFrame, ledger: str | None, version: in
         unseen = unseen.join(seen, "blob", "left_anti")
     # One text for each address: copies are collapsed in the map side, so a blob that a third of all rows hold sends one row a task.
     once = unseen.dropDuplicates(["blob"])
-    fresh = once.select("blob", F.lit(version).alias("rule_version"), findings(F.col("text")).alias("findings"))
-    fresh.write.mode("append").parquet(path)
+    findings(once).select("blob", F.lit(version).alias("rule_version"), F.col("findings").cast(FINDINGS).alias("findings")).write.mode("append").parquet(path)
     found = spark.read.schema(schema).parquet(path).filter((F.col("rule_version") == version) & (F.size("findings") > 0))
     return found.select("blob", "findings")
 
@@ -108,7 +121,7 @@ def redact(spark: SparkSession, docs: DataFrame, ledger: str | None = None, vers
     known = _known(spark, docs, ledger, version).select(F.col("blob").alias(blob), F.col("findings").alias(spans))
     rows = docs.withColumn(own, blob_of(F.col("text"))).join(known, F.col(own) == F.col(blob), "left")
     found = F.coalesce(F.col(spans), F.array().cast(FINDINGS))
-    rows = rows.withColumn("text", redacted(F.col("text"), found))
+    rows = rows.withColumn("text", F.when(F.size(found) > 0, redacted(F.col("text"))).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         rows = rows.withColumn("n_chars", F.when(F.size(found) > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
@@ -139,14 +152,17 @@ def digest(found: DataFrame) -> DataFrame:
     )
 
 
-def redacted(text: Column, found: Column) -> Column:
-    """The text with every span replaced by [kind]; overlapping spans become one, named after the first."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+def redacted(text: Column) -> Column:
+    """The text with every finding replaced by [kind], a rule after the other; in proportion to the text."""
+    out = text
+    for char, code in _ESCAPES:
+        out = F.replace(out, F.lit(char), F.lit(code))
+    for k, pattern, least, least_last in RULES:
+        out = F.array_join(F.transform(_pieces(out, pattern), _named(k, pattern, least, least_last)), "")
+    for char, code in reversed(_ESCAPES):
+        out = F.replace(out, F.lit(code), F.lit(char))
+    return out
 
-    def step(acc: Column, x: Column) -> Column:
-        before = F.substring(text, acc["at"] + 1, x["start"] - acc["at"])
-        ahead = F.concat(acc["out"], before, F.lit("["), x["kind"], F.lit("]"))
-        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), F.when(x["start"] >= acc["at"], ahead).otherwise(acc["out"]).alias("out"))
 
-    whole = F.aggregate(found, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return F.when(F.size(found) > 0, whole).otherwise(text)
+def _named(kind: str, pattern: str, least: int, least_last: int) -> Callable[[Column, Column], Column]:
+    return lambda piece, i: F.when(_counts(piece, i, pattern, least, least_last), F.lit(f"[{kind}]")).otherwise(piece)
