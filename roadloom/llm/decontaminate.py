@@ -1,17 +1,19 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 Words are runs of letters and digits, lower-cased. Every three-word seed of a
-benchmark item is counted in the whole corpus; an item's rare seeds are those
-that occur, but not much more often than its lower quartile (``OFTEN`` times,
-plus ``FEW``). A passage with at least ``SEEDS`` different seeds of an item
-(all, if it has fewer) within the item's length is aligned with the item by
-words (match 2, mismatch -1, gap -1). The score is the alignment's, divided by
-that of a perfect copy; ``THRESHOLD`` and above is a copy, edited or not.
-
-Rarity is relative to the item, so an item that has leaked into a third of all
-documents keeps its seeds. No number of partners is capped; a document is
-aligned where it is read, so documents with many hits stay in their own row
-and there is no shuffle of texts at all.
+benchmark item is counted in the whole corpus. A passage with at least
+``SEEDS`` different seeds of an item (all, if it has fewer) within the item's
+length is aligned with the item by words (match 2, mismatch -1, gap -1). The
+score is the alignment's, divided by that of a perfect copy; ``THRESHOLD`` and
+above is a copy, edited or not.
+
+No seed is left out for its count. An item's rare seeds are all but its
+``SEEDS`` - 1 most frequent ones: a passage with enough seeds holds one of
+them, so documents are looked up by rare seeds only, and the others are added
+where a rare one was found. A passage that shares too few words with the item
+to reach the threshold at all is not aligned. No number of partners is capped;
+a document is aligned where it is read, so documents with many hits stay in
+their own row and there is no shuffle of texts at all.
 
 The benchmark is taken in blocks of about ``BLOCK_BYTES`` of text, each of
 which goes with the tasks; its size is measured first, so what is shipped is
@@ -36,7 +38,7 @@ from roadloom.llm.base import cut, Lean, mix64, slices, texts
 from roadloom.llm.shingles import word_hashes
 
 SEED_WORDS, SEEDS, THRESHOLD, BLOCK_BYTES = 3, 2, 0.4, 8_000_000
-OFTEN, FEW = 4, 16
+PAIRS = 4_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 
 _U = np.uint64
@@ -69,28 +71,46 @@ class Index:
         self.words = [hashed[at[i] : at[i + 1]] for i in range(len(items))]
         self.seeds = [seeds_of(w) for w in self.words]
         self.sizes = [min(SEED_WORDS, max(1, len(w))) for w in self.words]
-        self.use(set(range(len(items))), None)
-
-    def use(self, some: set[int], counts: dict[int, int] | None) -> None:
-        """Index every seed, or each item's rare ones by ``counts``."""
-        pairs: dict[int, list[tuple[int, int]]] = {}
-        self.need = {}
-        for i in some:
-            s = self.seeds[i]
-            chosen = set(s.tolist())
-            self.need[i] = min(SEEDS, len(chosen))
-            if counts is not None:
-                heard = sorted(counts[h] for h in chosen if h in counts)
-                most = OFTEN * heard[len(heard) // 4] + FEW if heard else 0
-                chosen = {h for h in chosen if 0 < counts.get(h, 0) <= most}
-            for place, h in enumerate(s.tolist()):
-                if h in chosen:
-                    pairs.setdefault(h, []).append((i, place))
-        self.hashes = np.array(sorted(pairs), dtype=np.uint64)
-        self.pairs = [pairs[h] for h in self.hashes.tolist()]
+        self.need = [min(SEEDS, len(set(s.tolist()))) for s in self.seeds]
+        self.reach = np.array([len(w) + len(w) // 2 + 4 for w in self.words], dtype=np.int64)
+        self.hashes = np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *self.seeds]))
         self.filter = np.zeros(1 << _BITS, dtype=bool)
         self.filter[(self.hashes & _U((1 << _BITS) - 1)).astype(np.int64)] = True
         self.short = sorted(set(self.sizes))
+        self.use({})
+
+    def use(self, counts: dict[int, int]) -> None:
+        """Split the items' seeds into rare and other ones by ``counts``."""
+        count = np.array([counts.get(h, 0) for h in self.hashes.tolist()], dtype=np.int64)
+        rare, other = [], []
+        for i, s in enumerate(self.seeds):
+            numbers = np.searchsorted(self.hashes, s).tolist()
+            often = set(sorted(set(numbers), key=lambda k: (-count[k], k))[: max(0, self.need[i] - 1)])
+            for q, k in enumerate(numbers):
+                (other if k in often else rare).append((k, i, q))
+        table = np.array(sorted(rare), dtype=np.int64).reshape(-1, 3)
+        self.at = np.searchsorted(table[:, 0], np.arange(len(self.hashes) + 1))
+        self.rare = table[:, 1:]
+        table = np.array(sorted(other, key=lambda r: r[1:]), dtype=np.int64).reshape(-1, 3)
+        self.other_at = np.searchsorted(table[:, 1], np.arange(len(self.ids) + 1))
+        self.other = table[:, ::2]
+
+    def pairs(self, doc: np.ndarray, place: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(doc, item, place, place in the item) of hits, by doc, item and place, for all docs and items with a rare seed."""
+        hit, row = spread(self.at[number], self.at[number + 1])
+        n = max(1, len(self.ids))
+        key, p, q = doc[hit] * n + self.rare[row, 0], place[hit], self.rare[row, 1]
+        # The items' other seeds, only in the documents that hold a rare one.
+        some = np.unique(key)
+        which, row = spread(self.other_at[some % n], self.other_at[some % n + 1])
+        order = np.lexsort((place, number, doc))
+        k = len(self.hashes) + 1
+        known, want = (doc * k + number)[order], some[which] // n * k + self.other[row, 0]
+        ask, found = spread(np.searchsorted(known, want), np.searchsorted(known, want, side="right"))
+        key = np.concatenate([key, some[which][ask]])
+        p, q = np.concatenate([p, place[order][found]]), np.concatenate([q, self.other[row, 1][ask]])
+        order = np.lexsort((q, p, key))
+        return key[order] // n, key[order] % n, p[order], q[order]
 
     def hits(self, words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place, number of the seed) of all indexed seeds in a buffer of documents' words."""
@@ -115,6 +135,25 @@ class Index:
         return place[order], number[order]
 
 
+def spread(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For ranges: the number of the range and the place, for each place in them."""
+    size = stop - start
+    which = np.repeat(np.arange(len(size)), size)
+    return which, np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size) + start[which]
+
+
+def chunks(doc: np.ndarray, weight: np.ndarray, most: int = PAIRS) -> Iterator[slice]:
+    """Slices of whole documents' hits, of at most ``most`` pairs unless a document has more by itself."""
+    at, total = 0, np.cumsum(weight)
+    while at < len(doc):
+        stop = int(np.searchsorted(total, (total[at - 1] if at else 0) + most, side="right"))
+        stop = int(np.searchsorted(doc, doc[stop])) if stop < len(doc) else len(doc)
+        if stop <= at:
+            stop = int(np.searchsorted(doc, doc[at], side="right"))
+        yield slice(at, stop)
+        at = stop
+
+
 def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int, int]:
     """Best local alignment: score, and where it starts and stops in the window (words)."""
     n = len(window)
@@ -157,6 +196,34 @@ def _count(index: Index, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([pa.array(index.hashes[some].view(np.int64)), pa.array(total[some])], names=["seed", "n"])
 
 
+def _copies(index: Index, threshold: float, ids: list, words: np.ndarray, at: np.ndarray, doc: np.ndarray, item: np.ndarray, p: np.ndarray, q: np.ndarray) -> list[tuple]:
+    """Rows for the documents and items whose best passage reaches the threshold."""
+    if not len(doc):
+        return []
+    # A passage: hits that follow each other within the item's reach.
+    first = np.flatnonzero(np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(item) != 0) | (np.diff(p) > index.reach[item[1:]])]))
+    stop = np.append(first[1:], len(doc))
+    least, most = np.minimum.reduceat(p - q, first), np.maximum.reduceat(p - q, first)
+    need = np.array(index.need)[item[first]]
+    full = (need < 2) | (np.minimum.reduceat(q, first) < np.maximum.reduceat(q, first))
+    best: dict[tuple[int, int], tuple[float, int, int]] = {}
+    for g in np.flatnonzero(full).tolist():
+        d, i = int(doc[first[g]]), int(item[first[g]])
+        if len(set(q[first[g] : stop[g]].tolist())) < need[g]:
+            continue
+        w = index.words[i]
+        lo = max(int(at[d]), int(least[g]) - len(w) // 2 - 4)
+        hi = min(int(at[d + 1]), int(most[g]) + len(w) + len(w) // 2 + 4)
+        window = words[lo:hi]
+        if np.isin(w, window).sum() / len(w) < threshold:
+            continue  # the score is at most the share of the item's words that occur here
+        score, a, b = align(w, window)
+        share = score / (MATCH * len(w))
+        if share >= threshold and share > best.get((d, i), (0.0, 0, 0))[0]:
+            best[d, i] = (share, lo + a - int(at[d]), lo + b - int(at[d]))
+    return [(ids[d], index.ids[i], *b) for (d, i), b in best.items()]
+
+
 def _find(index: Index, threshold: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, "text", 2_000_000):
@@ -164,33 +231,9 @@ def _find(index: Index, threshold: float, batches: Iterator[pa.RecordBatch]) ->
             words, at = words_of(texts(batch.column("text")))
             place, number = index.hits(words, at)
             doc = np.searchsorted(at, place, side="right") - 1
-            found: dict[tuple[int, int], list[tuple[int, int]]] = {}
-            for p, k, d in zip(place.tolist(), number.tolist(), doc.tolist(), strict=True):
-                for i, q in index.pairs[k]:
-                    found.setdefault((d, i), []).append((p, q))
             rows = []
-            for (d, i), hits in found.items():
-                item = index.words[i]
-                reach = len(item) + len(item) // 2 + 4
-                best = (0.0, 0, 0)
-                at_hit = 0
-                while at_hit < len(hits):
-                    # A passage: hits that follow each other within the item's reach.
-                    stop = at_hit + 1
-                    while stop < len(hits) and hits[stop][0] - hits[stop - 1][0] <= reach:
-                        stop += 1
-                    group = hits[at_hit:stop]
-                    at_hit = stop
-                    if len({q for _, q in group}) < index.need[i]:
-                        continue
-                    lo = max(int(at[d]), min(p - q for p, q in group) - len(item) // 2 - 4)
-                    hi = min(int(at[d + 1]), max(p + len(item) - q for p, q in group) + len(item) // 2 + 4)
-                    score, a, b = align(item, words[lo:hi])
-                    share = score / (MATCH * len(item))
-                    if share > best[0]:
-                        best = (share, lo + a - int(at[d]), lo + b - int(at[d]))
-                if best[0] >= threshold:
-                    rows.append((ids[d], index.ids[i], *best))
+            for part in chunks(doc, index.at[number + 1] - index.at[number]):
+                rows += _copies(index, threshold, ids, words, at, *index.pairs(doc[part], place[part], number[part]))
             if rows:
                 columns = list(zip(*rows, strict=True))
                 kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
@@ -212,7 +255,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
         mine = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id").collect()
         index = Index([(r[0], r[1].encode()) for r in mine])
         counts = base.mapInArrow(Lean(_count, index), "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).collect()
-        index.use({i for i, w in enumerate(index.words) if len(w)}, {int(s) & (2**64 - 1): int(n) for s, n in counts})
+        index.use({int(s) & (2**64 - 1): int(n) for s, n in counts})
         found = cut(base.mapInArrow(Lean(_find, index, threshold), SCHEMA), "contaminated")
         out = found if out is None else out.unionByName(found)
     return out

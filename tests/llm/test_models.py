@@ -116,6 +116,16 @@ def test_contamination(spark):
     assert decontaminate.contaminated(frame(spark, rows), spark.createDataFrame([], "item_id long, text string")).collect() == []
 
 
+@pytest.mark.parametrize("kind", ["edited", "half"])
+def test_many_partial_copies_beside_one_whole(spark, kind):
+    rng = random.Random(5)
+    item = words(rng, 40, 10**6).split()
+    part = item[:20] if kind == "half" else [f"edit{k}" if k in (6, 14, 22, 30) else w for k, w in enumerate(item)]
+    rows = [(1, "before " + " ".join(item) + " after")] + [(10 + k, words(rng, 30) + " " + " ".join(part) + " " + words(rng, 30)) for k in range(100)]
+    got = decontaminate.contaminated(frame(spark, rows), spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")).collect()
+    assert {r.doc_id for r in got} == {i for i, _ in rows}
+
+
 def vectors(n=1500, size=16):
     rng = np.random.default_rng(3)
     centers = rng.normal(size=(12, size))
