@@ -126,6 +126,14 @@ def test_many_partial_copies_beside_one_whole(spark, kind):
     assert {r.doc_id for r in got} == {i for i, _ in rows}
 
 
+def test_short_item_with_a_common_phrase(spark):
+    rng = random.Random(6)
+    item = "alpha beta gamma delta"
+    rows = [(k, words(rng, 30) + f" {item} " + words(rng, 30)) for k in range(5)] + [(100 + k, words(rng, 30) + " beta gamma delta " + words(rng, 30)) for k in range(495)]
+    got = decontaminate.contaminated(frame(spark, rows), spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
+    assert set(range(5)) <= {r.doc_id for r in got}
+
+
 def vectors(n=1500, size=16):
     rng = np.random.default_rng(3)
     centers = rng.normal(size=(12, size))
