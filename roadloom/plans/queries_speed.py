@@ -161,6 +161,11 @@ def w06(t: Tables) -> DataFrame:
     return profiles.fill_temporal(few, "edge_no", "slot", "speed_kph", P.neighbor_size).withColumn("speed_kph", r6("speed_kph"))
 
 
+@query("w06_temporal_fill_all_edges", "select edge_no, cast(slot as int) as slot, round(v, 6) as speed_kph, filled from walk where slot >= 0 and n > 0", FILL.replace(" where edge_no < 12 and slot % 5 = edge_no % 5", ""))
+def w06_all(t: Tables) -> DataFrame:
+    return profiles.fill_temporal(t.obs, "edge_no", "slot", "speed_kph", P.neighbor_size).withColumn("speed_kph", r6("speed_kph"))
+
+
 @query("w07_same_time_fill", """select g.edge_no, cast(g.slot as int) as slot, round(coalesce(m.v, avg(m.v) over (partition by g.edge_no, g.slot % 288)), 6) as speed_kph, m.v is null as filled
   from (select e.edge_no, s.slot from (select distinct edge_no from $obs) e cross join (select unnest(range(2016)) as slot) s) g left join (select edge_no, slot, avg(speed_kph) as v from obs group by edge_no, slot) m on m.edge_no = g.edge_no and m.slot = g.slot
   qualify avg(m.v) over (partition by g.edge_no, g.slot % 288) is not null""")
@@ -175,26 +180,56 @@ g AS MATERIALIZED (select e.edge_no, s.slot, cast(coalesce(m.v, 40) as float)::d
 f AS MATERIALIZED (select edge_no, slot, median(x) over w as md, mad(x) over w as ad from g window w as (partition by edge_no order by slot rows between 7 preceding and 7 following)),
 h AS MATERIALIZED (select g.edge_no, g.slot, cast(case when abs(x - md) > 2.5::double * 1.4826::double * ad then md else x end as float)::double as v from g join f on f.edge_no = g.edge_no and f.slot = greatest(7, least(2008, g.slot)))"""
 
+PROFILE_ALL = PROFILE.replace(" where edge_no < 10", "")
 
-def _profiles(t: Tables) -> DataFrame:
-    some = t.obs.filter("edge_no < 10")
-    means = profiles.trimmed_means(some, "edge_no", "slot", "speed_kph", P.iqr_factor)
-    defaults = some.select("edge_no").distinct().withColumn("default_kph", F.lit(P.freeflow_kph * P.default_speed_factor))
+
+def _profiles(obs: DataFrame) -> DataFrame:
+    means = profiles.trimmed_means(obs, "edge_no", "slot", "speed_kph", P.iqr_factor)
+    defaults = obs.select("edge_no").distinct().withColumn("default_kph", F.lit(P.freeflow_kph * P.default_speed_factor))
     return profiles.smooth_profiles(means, defaults, "edge_no", P)
 
 
-@query("w05_hampel", "select edge_no, cast(slot as int) as slot, round(v, 4) as speed_kph from h", PROFILE)
+def _few(t: Tables) -> DataFrame:
+    """The edges that the SQL of the queries without _all_edges is limited to."""
+    return t.obs.filter("edge_no < 10")
+
+
+def _smoothed(obs: DataFrame) -> DataFrame:
+    return _profiles(obs).select("edge_no", F.posexplode("profile").alias("slot", "v")).select("edge_no", "slot", F.round(F.col("v").cast("double"), 4).alias("speed_kph"))
+
+
+SMOOTHED = "select edge_no, cast(slot as int) as slot, round(v, 4) as speed_kph from h"
+
+
+@query("w05_hampel", SMOOTHED, PROFILE)
 def w05(t: Tables) -> DataFrame:
-    return _profiles(t).select("edge_no", F.posexplode("profile").alias("slot", "v")).select("edge_no", "slot", F.round(F.col("v").cast("double"), 4).alias("speed_kph"))
+    return _smoothed(_few(t))
 
 
-@query("m03_dct", """select edge_no, k, cast(round_even(sum(v * cos(pi() / 2016 * k * (slot + 0.5::double))) * case when k = 0 then sqrt(1 / 2016::double) else sqrt(2 / 2016::double) end, 0) as int) as coefficient
-  from h, (select cast(unnest(range(200)) as int) as k) ks group by edge_no, k""", PROFILE)
-def m03(t: Tables) -> DataFrame:
-    c = _profiles(t).select("edge_no", encode.coefficients_of(F.transform("profile", lambda v: v.cast("double"))).alias("c"))
+@query("w05_hampel_all_edges", SMOOTHED, PROFILE_ALL)
+def w05_all(t: Tables) -> DataFrame:
+    return _smoothed(t.obs)
+
+
+DCT = """select edge_no, k, cast(round_even(sum(v * cos(pi() / 2016 * k * (slot + 0.5::double))) * case when k = 0 then sqrt(1 / 2016::double) else sqrt(2 / 2016::double) end, 0) as int) as coefficient
+  from h, (select cast(unnest(range(200)) as int) as k) ks group by edge_no, k"""
+
+
+def _coefficients(obs: DataFrame) -> DataFrame:
+    c = _profiles(obs).select("edge_no", encode.coefficients_of(F.transform("profile", lambda v: v.cast("double"))).alias("c"))
     return c.select("edge_no", F.posexplode("c").alias("k", "coefficient"))
 
 
+@query("m03_dct", DCT, PROFILE)
+def m03(t: Tables) -> DataFrame:
+    return _coefficients(_few(t))
+
+
+@query("m03_dct_all_edges", DCT, PROFILE_ALL)
+def m03_all(t: Tables) -> DataFrame:
+    return _coefficients(t.obs)
+
+
 CONSTANT = "select cast(v as bigint) as kph, concat(substr(x, 1, 4), repeat('0', 796)) as code from (select v, lower(format('{:08x}', cast(round_even(v * sqrt(2016::double), 0) as int)))[5:8] as x from (select unnest(range(10, 130, 10)) as v) a) b"
 
 
@@ -217,7 +252,7 @@ def m06(t: Tables) -> DataFrame:
             error = [float(np.abs(a - np.array(p)).mean()) for a, p in zip(back, b.column("profile").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column("edge_no"), pa.array(error)], names=["edge_no", "mean_error"])
 
-    return _profiles(t).mapInArrow(decode, "edge_no long, mean_error double")
+    return _profiles(t.obs).mapInArrow(decode, "edge_no long, mean_error double")
 
 
 @query("j09_j13_edge_types", """select e.edge_no, w.way_id, coalesce(r.highway_type, 'unknown') as highway_type,
@@ -348,13 +383,25 @@ def snk03(t: Tables) -> DataFrame:
     return t.spark.read.schema("meter_id string, event_id long, location string").option("header", True).csv(path).groupBy("meter_id").agg(F.count("*").alias("n"))
 
 
-@query("snk06_tile_csv", "select concat(g & 7, '/', lpad(cast((g >> 3) & 4194303 as varchar), 3, '0'), '.csv') as file_path, count(*) as n from (select distinct graph_id as g from $obs where edge_no < 10) x group by 1")
-def snk06(t: Tables) -> DataFrame:
+TILE_FILES = "select concat(g & 7, '/', lpad(cast((g >> 3) & 4194303 as varchar), 3, '0'), '.csv') as file_path, count(*) as n from (select distinct graph_id as g from $obs where edge_no < 10) x group by 1"
+
+
+def _tile_files(t: Tables, obs: DataFrame) -> DataFrame:
     ids = t.obs.select("edge_no", "graph_id").distinct()
-    rows = profiles.export_rows(_profiles(t).join(ids, "edge_no").withColumns({"freeflow": F.lit(50.0), "constrained": F.lit(40.0)}), "graph_id", "freeflow", "constrained", "encoded")
+    rows = profiles.export_rows(_profiles(obs).join(ids, "edge_no").withColumns({"freeflow": F.lit(50.0), "constrained": F.lit(40.0)}), "graph_id", "freeflow", "constrained", "encoded")
     return sinks.write_tile_csv(rows, scratch(t.spark, "tilecsv"))
 
 
+@query("snk06_tile_csv", TILE_FILES)
+def snk06(t: Tables) -> DataFrame:
+    return _tile_files(t, _few(t))
+
+
+@query("snk06_tile_csv_all_edges", TILE_FILES.replace(" where edge_no < 10", ""))
+def snk06_all(t: Tables) -> DataFrame:
+    return _tile_files(t, t.obs)
+
+
 @query("snk13_edge_csv", "select concat('2/7/0,', edge_index, ',', cast(cast(v as int) as varchar), ',', case when v < 10 then 51 when v < 20 then 31 when v < 40 then 16 else 6 end) as value from last", LAST)
 def snk13(t: Tables) -> DataFrame:
     last = live.last_write(t.obs.filter("edge_no % 3 <> 1"), ["edge_no"], "speed_kph", "seq")

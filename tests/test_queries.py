@@ -18,3 +18,12 @@ def test_entry(spark):
 
     assert set(e.oracle_sql()) <= set(e.queries())
     assert len(e.entry(spark).columns) == 6
+
+
+@pytest.mark.parametrize("name", ["w05_hampel_all_edges", "w06_temporal_fill_all_edges", "m03_dct_all_edges", "m06_decode_profile"])
+def test_every_edge(spark, name):
+    from roadloom.plans.views import Tables
+
+    sf = "/root/testdata/sf0.001"
+    edges = {r.edge_no for r in Tables(spark, sf).obs.select("edge_no").distinct().collect()}
+    assert {r.edge_no for r in QUERIES[name](spark, sf).select("edge_no").distinct().collect()} == edges
