@@ -7,10 +7,12 @@ the capacity, not by the corpus.
 
 1. Start: patterns are made best-fit decreasing and repeated as long as their
    lengths last.
-2. Local search over the underfull bins: the emptiest is taken apart by moves
-   of its pieces into others' room, one-for-one and two-for-one exchanges
-   that increase the sum of squared fills, until it is empty or no exchange
-   helps.
+2. Local search over all underfull patterns: moves and exchanges of up to two
+   pieces for up to two that increase the sum of squared fills, each applied
+   as often as both patterns last, for at most ``LOOKS`` looks at an exchange.
+   Then the ``SEARCH_BINS`` emptiest bins one by one: the emptiest is taken
+   apart by moves of its pieces into others' room, one-for-one and two-for-one
+   exchanges, until it is empty or no exchange helps.
 3. Pieces get places by their rank among the pieces of equal length: the r-th
    piece of a length takes the r-th place that the patterns have for it. Ranks
    come from two levels (rank in a hash bucket, plus the number of pieces in
@@ -32,6 +34,7 @@ import zlib
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +43,7 @@ from pyspark.sql import functions as F
 
 from roadloom.llm.base import cut, Lean, slices
 
-CAPACITY, SEPARATOR, BUCKETS, SEARCH_BINS, PROBES = 2048, 0, 64, 256, 2_000_000
+CAPACITY, SEPARATOR, BUCKETS, SEARCH_BINS, PROBES, LOOKS = 2048, 0, 64, 256, 2_000_000, 300_000_000
 
 # Texts of these Latin-1 characters only are cut into words here and looked up; all others go through the tokenizer whole.
 PLAIN = bytes([9, 10, 13, *range(0x20, 0x7F), 0xA1, 0xAB, 0xBB, 0xBF, *range(0xC0, 0x100)])
@@ -147,6 +150,65 @@ def start(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...
     return out
 
 
+def exchange(patterns: dict[tuple[int, ...], int], capacity: int, spare: int, looks: int = LOOKS) -> dict[tuple[int, ...], int]:
+    """Local search among underfull patterns, which keep their multiplicities: up to two pieces against up to two of another pattern, as often as both last.
+
+    Ends when no exchange increases the sum of squared fills, ``spare`` bins are
+    saved, or after ``looks`` looks at an exchange.
+    """
+    at: dict[tuple[int, ...], int] = {}
+    names: list[tuple[int, ...]] = []
+    groups: list[dict[int, tuple[int, ...]]] = []
+    left, fill, sums, owner = (np.zeros(0, dtype=np.int64) for _ in range(4))
+    queue: list[int] = []
+
+    def add(pattern: tuple[int, ...], times: int) -> None:
+        nonlocal left, fill, sums, owner
+        if pattern not in at:
+            at[pattern] = len(groups)
+            names.append(pattern)
+            few = [n for n, c in Counter(pattern).items() for _ in range(min(c, 2))]
+            groups.append({sum(c): c for k in (2, 1, 0) for c in combinations(few, k)})
+            left, fill = np.append(left, 0), np.append(fill, sum(pattern))
+        i = at[pattern]
+        if not left[i]:
+            queue.append(i)
+            if i not in owner:
+                mine = np.array(list(groups[i]), dtype=np.int64)
+                sums, owner = np.append(sums, mine), np.append(owner, np.full(len(mine), i))
+        left[i] += times
+
+    for pattern, times in sorted(patterns.items(), key=lambda x: (sum(x[0]), x[0])):
+        add(tuple(sorted(pattern)), times)
+    while queue and spare > 0 and looks > 0:
+        a = queue.pop(0)
+        while left[a] and spare > 0 and looks > 0:
+            if 2 * (left[owner] > 0).sum() < len(owner):
+                some = left[owner] > 0
+                sums, owner = sums[some], owner[some]
+            mine = np.array(list(groups[a]), dtype=np.int64)
+            looks -= len(mine) * len(sums)
+            grow = sums - mine[:, None]
+            fits = (grow <= capacity - fill[a]) & (fill[owner] - grow <= capacity)
+            lasts = np.where(owner == a, left[a] // 2, np.minimum(left[a], left[owner]))
+            gain = np.where(fits, grow * (grow + fill[a] - fill[owner]), 0) * lasts
+            best = int(gain.argmax())
+            row, column = divmod(best, len(sums))
+            if gain[row, column] <= 0:
+                break
+            b, times = int(owner[column]), int(lasts[column])
+            go, come = groups[a][int(mine[row])], groups[b][int(sums[column])]
+            first, second = Counter(names[a]), Counter(names[b])
+            left[a] -= times
+            left[b] -= times
+            for pattern in (first - Counter(go) + Counter(come), second - Counter(come) + Counter(go)):
+                if pattern:
+                    add(tuple(sorted(pattern.elements())), times)
+                else:
+                    spare -= times
+    return {p: int(left[i]) for p, i in at.items() if left[i]}
+
+
 def improve(bins: list[Bin], capacity: int, spare: int = 1 << 60, probes: int = PROBES) -> list[Bin]:
     """Local search among underfull bins: takes the emptiest apart while moves and exchanges allow it.
 
@@ -202,10 +264,18 @@ def improve(bins: list[Bin], capacity: int, spare: int = 1 << 60, probes: int =
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY, most: int = SEARCH_BINS) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns with multiplicities that hold exactly the histogram's pieces. The local search takes the ``most`` emptiest underfull bins, and ends when the least possible number of bins is reached."""
-    begun = sorted(start(histogram, capacity), key=lambda x: sum(x[0]))
+    """Patterns with multiplicities that hold exactly the histogram's pieces. The search over patterns takes all underfull ones, that over single bins the ``most`` emptiest then; both end when the least possible number of bins is reached."""
+    begun = start(histogram, capacity)
     least = -(-sum(n * c for n, c in histogram.items()) // capacity)
     spare = sum(times for _, times in begun) - least
+    if spare:
+        underfull: Counter[tuple[int, ...]] = Counter()
+        for pattern, times in begun:
+            if sum(pattern) < capacity:
+                underfull[tuple(sorted(pattern))] += times
+        begun = [b for b in begun if sum(b[0]) == capacity] + list(exchange(underfull, capacity, spare).items())
+        spare = sum(times for _, times in begun) - least
+    begun.sort(key=lambda x: sum(x[0]))
     loose: list[Bin] = []
     kept = []
     for pattern, times in begun:

@@ -79,3 +79,10 @@ def test_near_the_bound(seed):
     h = Counter(min(2048, int(rng.lognormvariate(5.5, 1)) + 1) for _ in range(3000))
     least = -(-sum(n * c for n, c in h.items()) // 2048)
     assert sum(t for _, t in packing.plan(h)) <= least + 1
+
+
+@pytest.mark.parametrize("n", [10, 43, 100_000])
+def test_search_reaches_every_underfull_bin(n):
+    made = packing.plan({1034: 6 * n, 532: 6 * n, 522: 6 * n, 492: 12 * n})
+    assert sum(t for _, t in made) == 9 * n
+    assert sum(t * len(p) for p, t in made) == 30 * n and all(sum(p) <= 2048 for p, _ in made)
