@@ -5,11 +5,16 @@ stand in toxic texts far more often than chance allows. It is fitted on at
 most ``FIT_ROWS`` labelled rows (those with the least hash of doc_id), so it
 behaves alike at every size of the corpus; scoring covers every whole text.
 
-Misspellings: the lexicon's words form a trie, which is intersected with the
-Levenshtein automaton of each distinct word (the automaton's state is the
-banded row of edit distances, which dies as soon as all entries exceed the
-bound). Whether near words of a term count at all is learned too: a term
-whose neighbours turn up in clean texts gets no fuzzy weight.
+Misspellings: the lexicon's words and word beginnings form a trie, which is
+intersected with the Levenshtein automaton of each distinct word (the
+automaton's state is the banded row of edit distances, which dies as soon as
+all entries exceed the bound; a word beginning accepts when some beginning of
+the word is near). A word enters the automaton if it holds a piece of a term
+whole, about where the term has it: of ``edits`` + 1 pieces one is untouched
+(a swap over a cut is looked for as such). One misspelling outside quotation
+and reports reaches ``THRESHOLD``. Whether near words of a term count at all
+is learned too: a term whose neighbours turn up in clean texts gets no fuzzy
+weight.
 
 Context: each hit looks at a window of words. Quotation marks around it and
 reporting words lower its weight, address ("you", "you are") raises it.
@@ -37,7 +42,7 @@ from roadloom.llm.base import Lean, cut, slices
 FIT_ROWS, MAX_TERMS, SIGNIFICANCE, SUPPORT = 12_000, 512, 12.0, 0.03
 # Clean texts for each toxic one that a term may stand in: for full weight, and at all.
 PURITY, WORST = 0.005, 0.12
-EXACT, IMPURE, FUZZY, WINDOW, THRESHOLD = 0.7, 0.25, 0.3, 8, 0.3
+EXACT, IMPURE, FUZZY, WINDOW, THRESHOLD = 0.7, 0.25, 0.4, 8, 0.3
 SHORTEST, LONGEST, FUZZY_FROM, TWICE_FROM = 4, 10, 5, 12
 
 WORD = re.compile(r"\w+(?:[@$*]\w+)*")
@@ -97,6 +102,7 @@ def learn(sample: DataFrame) -> dict:
     best = good.orderBy(F.desc("pos"), F.length("term"), "term").limit(16 * MAX_TERMS).collect()
     found = choose({r[0]: (int(r[1]), int(r[2])) for r in best})
     found["fuzzy"] = {w: FUZZY for w, weight in found["words"].items() if len(w) >= FUZZY_FROM and weight == EXACT}
+    found["fuzzy"] |= {w + "*": FUZZY for w, weight in found["stems"].items() if len(w) >= FUZZY_FROM and weight == EXACT}
     if found["fuzzy"]:
         heard = counts.filter("toxic = 0").mapInArrow(Lean(_near, found), "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
         for term, n in heard:
@@ -133,9 +139,10 @@ def trie(words: list[str]) -> dict:
     root: dict = {}
     for w in words:
         node = root
-        for c in w:
+        stem = w.endswith("*")
+        for c in w[:-1] if stem else w:
             node = node.setdefault(c, {})
-        node[""] = w
+        node["**" if stem else ""] = w
     return root
 
 
@@ -146,10 +153,14 @@ def within(word: str, root: dict, most: int) -> str | None:
     best: tuple[int, str] | None = None
     while stack:
         node, before, last, row = stack.pop()
-        if "" in node and row[size] <= most and (best is None or (row[size], node[""]) < best):
-            best = (row[size], node[""])
+        for end in ("", "**"):
+            # A word beginning (its entry is "**") accepts wherever the word's beginning is near.
+            if end in node:
+                edits = row[size] if not end else min(row)
+                if edits <= most and (best is None or (edits, node[end]) < best):
+                    best = (edits, node[end])
         for c, child in node.items():
-            if not c:
+            if c in ("", "**"):
                 continue
             new = [row[0] + 1]
             for j in range(1, size + 1):
@@ -162,6 +173,37 @@ def within(word: str, root: dict, most: int) -> str | None:
     return best[1] if best else None
 
 
+def edits_of(term: str) -> int:
+    return 1 if len(term.rstrip("*")) < TWICE_FROM else 2
+
+
+class Pieces:
+    """Lets every word through that is within ``most`` edits of a term: of its most + 1 pieces one is untouched, shifted by at most ``most``; or a swap lies over a cut."""
+
+    def __init__(self, terms: list[str], most: int):
+        # For each start the pieces, with the lengths that a word can have.
+        self.at: list[dict[str, set[int]]] = []
+        for term in terms:
+            w = term.rstrip("*")
+            sizes = set(range(len(w) - most, 200 if term != w else len(w) + most + 1))
+            cuts = [len(w) * k // (most + 1) for k in range(most + 2)]
+            found = [(a, w[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)] + [(a - 1, w[a] + w[a - 1]) for a in cuts[1:-1]]
+            for place, piece in found:
+                for start in range(max(0, place - most), place + most + 1):
+                    while len(self.at) <= start:
+                        self.at.append({})
+                    self.at[start].setdefault(piece, set()).update(sizes)
+        self.lengths = [sorted({len(p) for p in t}) for t in self.at]
+
+    def match(self, word: str) -> bool:
+        size = min(len(word), 199)
+        for start, (table, lengths) in enumerate(zip(self.at[:size], self.lengths, strict=False)):
+            for n in lengths:
+                if size in table.get(word[start : start + n], ()):
+                    return True
+        return False
+
+
 class Matcher:
     """Looks words up: (term, weight, exact), remembered for a bounded number of distinct words."""
 
@@ -169,13 +211,8 @@ class Matcher:
 
     def __init__(self, lexicon: dict):
         self.words, self.stems, self.fuzzy = lexicon["words"], lexicon["stems"], lexicon["fuzzy"]
-        self.root = trie(list(self.fuzzy))
-        self.lengths = {len(w) + d for w in self.fuzzy for d in ((-1, 0, 1) if len(w) < TWICE_FROM else (-2, -1, 0, 1, 2))}
-        # One edit leaves a word's first or second half whole (two edits: its first or last third, most often); a swap across the middle is listed.
-        cuts = [(w, len(w) // 2, len(w) - len(w) // 2) if len(w) < TWICE_FROM else (w, len(w) // 3, len(w) // 3) for w in self.fuzzy]
-        halves = [re.escape(w[:a]) for w, a, _ in cuts] + [".*" + re.escape(w[-b:]) + "$" for w, _, b in cuts]
-        self.near = re.compile("|".join(halves)) if halves else None
-        self.swapped = {w[: a - 1] + w[a] + w[a - 1] + w[a + 1 :]: w for w, a, _ in cuts}
+        self.roots = {most: trie([w for w in self.fuzzy if edits_of(w) == most]) for most in (1, 2)}
+        self.near = {most: Pieces([w for w in self.fuzzy if edits_of(w) == most], most) for most in (1, 2)}
         self.sizes = sorted({len(s) for s in self.stems})
         self.seen: set[str] = set()
         self.hits: dict[str, tuple[str, float, bool]] = {}
@@ -189,12 +226,15 @@ class Matcher:
         plain = word.translate(LEET) if HARD.search(word) else word
         if plain != word and plain in self.words:
             return plain, self.fuzzy.get(plain, FUZZY), False
-        if plain in self.swapped:
-            return self.swapped[plain], self.fuzzy[self.swapped[plain]], False
-        if len(plain) in self.lengths and self.near.match(plain):
-            near = within(plain, self.root, 1 if len(plain) < TWICE_FROM else 2)
-            if near:
-                return near, self.fuzzy[near], False
+        if plain != word:
+            for n in self.sizes:
+                if plain[:n] in self.stems and len(plain) >= n:
+                    return plain[:n] + "*", self.fuzzy.get(plain[:n] + "*", FUZZY), False
+        for most, near in self.near.items():
+            if near.match(plain):
+                term = within(plain, self.roots[most], most)
+                if term:
+                    return term, self.fuzzy[term], False
         return None
 
     def add(self, words: set[str]) -> list[str]:

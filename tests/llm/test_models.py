@@ -72,6 +72,29 @@ def test_automaton_is_edit_distance():
             assert toxicity.within(w, root, most) == (near[1] if near else None)
 
 
+def test_one_misspelling_is_enough():
+    stem, word, long = "grumbl", "wretched", "abominations"
+    m = toxicity.Matcher({"words": {word: 0.7, long: 0.7}, "stems": {stem: 0.7}, "fuzzy": {word: toxicity.FUZZY, long: toxicity.FUZZY, stem + "*": toxicity.FUZZY}})
+    for text in ["wretchd", "wrethced", "wr3tched", "grunblers", "grumb1ing", "abxminatiyns", "bominatinos"]:
+        assert m.score(f"w1x w2x {text} w3x") >= toxicity.THRESHOLD, text
+    for text in ['he said "wretchd"', "grabbing", "w4x"]:
+        assert m.score(f"w1x w2x {text} w3x") < toxicity.THRESHOLD, text
+
+
+def test_prefilter_is_exact():
+    rng = random.Random(4)
+    some = lambda n: "".join(rng.choice("abcd") for _ in range(n))
+    for _ in range(4000):
+        term = some(rng.randint(5, 16)) + rng.choice(["", "*"])
+        most, w = toxicity.edits_of(term), list(term.rstrip("*"))
+        for _ in range(most):
+            i = rng.randrange(len(w) - 1)
+            w[i : i + 2] = rng.choice([[w[i + 1], w[i]], [w[i + 1]], ["x", w[i + 1]], [w[i], "x", w[i + 1]]])
+        word = "".join(w) + ("tail" if term.endswith("*") else "")
+        if toxicity.within(word, toxicity.trie([term]), most):
+            assert toxicity.Pieces([term], most).match(word)
+
+
 def test_no_labels(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     empty = toxicity.learn(toxicity.fit_sample(frame(spark, [(1, "a b")]), none))
