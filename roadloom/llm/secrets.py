@@ -1,27 +1,34 @@
 """Secret scans over an incremental blob ledger.
 
-A text is a blob, addressed by the SHA-256 of its bytes. The ledger is a
-Parquet table of (blob, rule_version, findings): what has been scanned with
-which rules. ``scan`` anti-joins the texts at hand with the ledger, scans what
-is unseen, appends it, and joins findings back to every path (document) that
-has the blob.
+A text is a blob, addressed by the SHA-256 of its bytes. The ledger is a folder
+of runs, each a Parquet folder of (blob, rule_version, findings): what has been
+scanned with which rules. ``scan`` anti-joins the texts at hand with the ledger,
+scans what is unseen, adds a run, and joins findings back to every path (``keys``:
+documents, or documents and their historical versions) that has the blob.
 
-Unseen texts are dealt out by address, one text for each (copies are collapsed
-before and after the shuffle), so a pair of blob and rule version is scanned
-once ever. Texts that the ledger knows are neither shuffled nor scanned.
+A run counts once its writer has committed it, and of several rows for one blob
+and rule version one is read: a run that broke off leaves nothing, one that is
+repeated or two writers at a time change nothing.
+
+Addresses are shuffled, texts are not, except for those that pass the gate (which
+hold a word or a run that every finding has): of each such unseen blob one text
+goes to the task that scans it, copies are collapsed before and after. So a pair
+of blob and rule version is scanned once ever.
 
 Findings are found by column expressions: each rule wraps its matches in two
 marker characters, the text is split at them, and running sums of the pieces'
-lengths are the places. (Markers that occur in the text itself are first
-replaced by another control character, which no rule can match either.)
+lengths are the places, in characters and in bytes. (Markers that occur in the
+text itself are first replaced by another control character, which no rule can
+match either.) ``redact`` cuts texts by the ledger's places; no rule runs again.
 
 Defined cases: a null text is the empty blob and has no findings; repeated
 rows and copies share one ledger entry; an empty table gives an empty result;
-further columns are ignored.
+further columns are ignored; a row without doc_id has findings like others.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -46,11 +53,10 @@ BASE = ["assign", "access", "hex"]
 # What a text must have for any rule to match (literals and one class run).
 GATE = r"(?i)password|passwd|secret|token|api_?key|akia|[0-9a-f]{24}|eyj|gh[pousr]_|xox[abprs]-|-----begin"
 
-FINDINGS = "array<struct<start:int,kind_no:int,kind:string,end:int>>"
+# Places in characters (start, end) and bytes (at, to); ends are exclusive.
+FINDINGS = "array<struct<start:int,kind_no:int,kind:string,end:int,at:int,to:int>>"
 
 _OPEN, _CLOSE, _SAFE = "\x01", "\x02", "\x03"
-# How a text's own markers are written while it is redacted; none of these characters is in any rule.
-_ESCAPES = [("\x03", "\x03\x06"), ("\x01", "\x03\x04"), ("\x02", "\x03\x05")]
 
 
 def _pieces(text: Column, pattern: str) -> Column:
@@ -67,31 +73,31 @@ def _counts(piece: Column, i: Column, pattern: str, least: int, least_last: int)
 def _rule_pieces(rule: int) -> Callable[[Column, Column], Column]:
     """Of a piece: its rule, place, length and whether it counts."""
     _, pattern, least, least_last = RULES[rule]
-    return lambda piece, i: F.struct(F.lit(rule).alias("rule"), i.alias("i"), F.length(piece).alias("n"), _counts(piece, i, pattern, least, least_last).alias("ok"))
+    return lambda piece, i: F.struct(F.lit(rule).alias("rule"), i.alias("i"), F.length(piece).alias("n"), F.octet_length(piece).alias("bytes"), _counts(piece, i, pattern, least, least_last).alias("ok"))
 
 
 def findings(blobs: DataFrame) -> DataFrame:
     """(blob, findings) of (blob, text): all rules' spans, by start, then by the rules' order.
 
-    A text that passes the gate becomes a row for each piece of each rule, and
-    running sums of their lengths are the places, so the work is in proportion
-    to the text however many matches it has. Other texts are one row.
+    A text becomes a row for each piece of each rule, and running sums of their
+    lengths are the places, so the work is in proportion to the text however many
+    matches it has. A null text is one row.
     """
     safe = F.translate("text", _OPEN + _CLOSE, _SAFE * 2)
     every = F.concat(*[F.transform(_pieces(safe, pattern), _rule_pieces(k)) for k, (_, pattern, _, _) in enumerate(RULES)])
-    rows = blobs.select("blob", F.explode_outer(F.when(F.col("text").rlike(GATE), every)).alias("x")).select("blob", "x.*")
+    rows = blobs.select("blob", F.explode_outer(F.when(F.col("text").isNotNull(), every)).alias("x")).select("blob", "x.*")
     before = Window.partitionBy("blob", "rule").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum("n").over(before), F.lit(0)).cast("int")
-    placed = rows.select("blob", "rule", "n", "ok", start.alias("start"))
+    sums = [F.coalesce(F.sum(c).over(before), F.lit(0)).cast("int") for c in ("n", "bytes")]
+    placed = rows.select("blob", "rule", "n", "bytes", "ok", sums[0].alias("start"), sums[1].alias("at"))
     kind = F.element_at(F.array(*[F.lit(k) for k, *_ in RULES]), F.col("rule") + 1)
-    span = F.when(F.col("ok"), F.struct("start", F.col("rule").alias("kind_no"), kind.alias("kind"), (F.col("start") + F.col("n")).alias("end")))
-    return placed.groupBy("blob").agg(F.array_sort(F.collect_list(span)).alias("findings"))
+    span = F.struct("start", F.col("rule").alias("kind_no"), kind.alias("kind"), (F.col("start") + F.col("n")).alias("end"), "at", (F.col("at") + F.col("bytes")).alias("to"))
+    return placed.groupBy("blob").agg(F.array_sort(F.collect_list(F.when(F.col("ok"), span))).alias("findings"))
 
 
-def scan(spark: SparkSession, docs: DataFrame, ledger: str | None = None, version: int = RULE_VERSION) -> DataFrame:
-    """doc_id, blob, findings (array, null if none): ``ledger`` is a Parquet path that is extended; none makes a new one in the shared folder."""
-    paths = docs.select("doc_id", blob_of(F.col("text")).alias("blob"))
-    return paths.join(_known(spark, docs, ledger, version), "blob", "left")
+def scan(spark: SparkSession, docs: DataFrame, ledger: str | None = None, version: int = RULE_VERSION, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The keys, blob, findings (array, null if none): ``ledger`` is a folder that is extended; none makes a new one in the shared folder."""
+    found = _known(spark, docs, ledger, version)
+    return docs.select(*keys, blob_of(F.col("text")).alias("blob")).join(found, "blob", "left")
 
 
 def blob_of(text: Column) -> Column:
@@ -99,39 +105,73 @@ def blob_of(text: Column) -> Column:
     return F.unhex(F.sha2(F.coalesce(text.cast("string"), F.lit("")).cast("binary"), 256))
 
 
+def runs(spark: SparkSession, ledger: str) -> list[str]:
+    """The ledger's committed runs."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{ledger}/*/_SUCCESS")
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at)
+    return sorted(x.getPath().getParent().toString() for x in found or [])
+
+
+def recorded(spark: SparkSession, ledger: str, version: int = RULE_VERSION) -> DataFrame | None:
+    """(blob, findings) of the committed runs with this rule version; a blob may stand there again."""
+    committed = runs(spark, ledger)
+    if not committed:
+        return None
+    return spark.read.schema(f"blob binary, rule_version int, findings {FINDINGS}").parquet(*committed).filter(F.col("rule_version") == version).select("blob", "findings")
+
+
+def unseen(spark: SparkSession, docs: DataFrame, ledger: str, version: int = RULE_VERSION) -> DataFrame:
+    """(blob, text) of the blobs that the ledger lacks, each once; text is null where no rule can match."""
+    text = F.col("text").cast("string")
+    new = docs.select(F.when(text.rlike(GATE), text).alias("text"), blob_of(text).alias("blob"))
+    seen = recorded(spark, ledger, version)
+    if seen is not None:
+        new = new.join(seen.select("blob"), "blob", "left_anti")
+    return new.dropDuplicates(["blob"])
+
+
 def _known(spark: SparkSession, docs: DataFrame, ledger: str | None, version: int) -> DataFrame:
-    """(blob, findings) of all blobs with findings, after what is unseen among ``docs`` has been scanned."""
-    schema = f"blob binary, rule_version int, findings {FINDINGS}"
+    """(blob, findings) of all blobs with findings, after what is unseen among ``docs`` has been scanned and recorded."""
     path = ledger or scratch(spark, "ledger")
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    unseen = docs.select(text.alias("text"), blob_of(F.col("text")).alias("blob"))
-    if ledger and _exists(spark, path):
-        seen = spark.read.schema(schema).parquet(path).filter(F.col("rule_version") == version).select("blob")
-        unseen = unseen.join(seen, "blob", "left_anti")
-    # One text for each address: copies are collapsed in the map side, so a blob that a third of all rows hold sends one row a task.
-    once = unseen.dropDuplicates(["blob"])
-    findings(once).select("blob", F.lit(version).alias("rule_version"), F.col("findings").cast(FINDINGS).alias("findings")).write.mode("append").parquet(path)
-    found = spark.read.schema(schema).parquet(path).filter((F.col("rule_version") == version) & (F.size("findings") > 0))
-    return found.select("blob", "findings")
+    scanned = findings(unseen(spark, docs, path, version))
+    scanned.select("blob", F.lit(version).alias("rule_version"), F.col("findings").cast(FINDINGS).alias("findings")).write.parquet(f"{path}/run={uuid.uuid4().hex}")
+    return recorded(spark, path, version).filter(F.size("findings") > 0).dropDuplicates(["blob"])
+
+
+def cuts(found: DataFrame) -> DataFrame:
+    """(blob, cuts) of (blob, findings): findings that overlap as one, named after the first, by place in bytes."""
+    rows = found.select("blob", F.explode("findings").alias("x")).select("blob", "x.*")
+    by = Window.partitionBy("blob").orderBy("at", "kind_no")
+    begins = F.coalesce(F.col("at") >= F.max("to").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
+    numbered = rows.withColumn("begins", begins).withColumn("number", F.sum(F.col("begins").cast("int")).over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    merged = numbered.groupBy("blob", "number").agg(F.min("at").alias("at"), F.max("to").alias("to"), F.min(F.struct("at", "kind_no", "kind"))["kind"].alias("kind"))
+    return merged.groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("at", "to", "kind"))).alias("cuts"))
 
 
 def redact(spark: SparkSession, docs: DataFrame, ledger: str | None = None, version: int = RULE_VERSION) -> DataFrame:
-    """The rows with all columns; every finding in ``text`` is replaced by its kind in brackets, and ``n_chars``, if there, is counted again."""
-    own, blob, spans = (unused(docs, n) for n in ("_own", "_blob", "_spans"))
-    known = _known(spark, docs, ledger, version).select(F.col("blob").alias(blob), F.col("findings").alias(spans))
-    rows = docs.withColumn(own, blob_of(F.col("text"))).join(known, F.col(own) == F.col(blob), "left")
-    found = F.coalesce(F.col(spans), F.array().cast(FINDINGS))
-    rows = rows.withColumn("text", F.when(F.size(found) > 0, redacted(F.col("text"))).otherwise(F.col("text")))
+    """The rows with all columns; every finding in ``text`` is replaced by its kind in brackets, and ``n_chars``, if there, is counted again.
+
+    Only texts that pass the gate are joined with the ledger's findings; the others stay where they are.
+    """
+    own, blob, places = (unused(docs, n) for n in ("_own", "_blob", "_places"))
+    gated = F.coalesce(F.col("text").cast("string").rlike(GATE), F.lit(False))
+    known = cuts(_known(spark, docs, ledger, version)).select(F.col("blob").alias(blob), F.col("cuts").alias(places))
+    rows = docs.filter(gated).withColumn(own, blob_of(F.col("text"))).join(known, F.col(own) == F.col(blob), "left")
+    has = F.col(places).isNotNull()
+    rows = rows.withColumn("text", F.when(has, redacted(F.col("text"), F.col(places))).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        rows = rows.withColumn("n_chars", F.when(F.size(found) > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+        rows = rows.withColumn("n_chars", F.when(has, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return docs.filter(~gated).unionByName(rows.select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+def redacted(text: Column, places: Column) -> Column:
+    """The text with each place (bytes at to to, by place, apart from each other) replaced by [kind]; in proportion to the text."""
+    raw = text.cast("string").cast("binary")
+    piece = lambda at, to: F.substring(raw, at + 1, to - at).cast("string")
+    before = lambda i: F.coalesce(F.get(places, i - 1)["to"], F.lit(0))
+    inner = F.transform(places, lambda x, i: F.concat(piece(before(i), x["at"]), F.lit("["), x["kind"], F.lit("]")))
+    return F.concat(F.array_join(inner, ""), piece(F.element_at(places, -1)["to"], F.octet_length(raw)))
 
 
 def listed(found: Column) -> Column:
@@ -150,19 +190,3 @@ def digest(found: DataFrame) -> DataFrame:
         F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"),
         listed(all_of).alias("spans"),
     )
-
-
-def redacted(text: Column) -> Column:
-    """The text with every finding replaced by [kind], a rule after the other; in proportion to the text."""
-    out = text
-    for char, code in _ESCAPES:
-        out = F.replace(out, F.lit(char), F.lit(code))
-    for k, pattern, least, least_last in RULES:
-        out = F.array_join(F.transform(_pieces(out, pattern), _named(k, pattern, least, least_last)), "")
-    for char, code in reversed(_ESCAPES):
-        out = F.replace(out, F.lit(code), F.lit(char))
-    return out
-
-
-def _named(kind: str, pattern: str, least: int, least_last: int) -> Callable[[Column, Column], Column]:
-    return lambda piece, i: F.when(_counts(piece, i, pattern, least, least_last), F.lit(f"[{kind}]")).otherwise(piece)
