@@ -6,27 +6,34 @@ common shingle is shared by a fixed share of all documents, so its posting
 list would grow with the corpus and its pairs with the square; a tuple is
 shared by near-duplicates only.) A document is posted under the first
 ``COORDS - MATCHES + 1`` of its (coordinate, value) pairs: two documents that
-agree on ``MATCHES`` coordinates must meet in that prefix. Members of a
-posting list are tied to the list's least document, which yields candidate
-groups without writing out the pairs of a list; within a group collisions are
-counted over whole signatures, pairs under the match threshold and pairs that
-are already connected are skipped, and what remains is confirmed on the full
-sets.
-
-Groups above ``BLOCK`` documents are cut into blocks. First each block is a unit
-of work, with the group's least document in all of them, which connects a group
-of copies at a cost in proportion to its size. Only documents that are not in
-the group's largest part by then are compared with all blocks, a pair of blocks
-a unit; no task ever holds more than two blocks, and no link is lost. Identical
-sets are collapsed to their least document first.
+agree on ``MATCHES`` coordinates must meet in that prefix. Identical sets are
+collapsed to their least document first.
+
+Nothing is concluded from a collision alone: a link is a pair with ``MATCHES``
+collisions, counted over both whole signatures, whose full sets are similar
+enough. Lists are worked on in rounds, and what is connected is skipped:
+
+1. In a round every list with documents of several components compares its
+   leader (the least by a hash that is another one in each round) with the
+   documents of other components. That is linear in the postings, connects a
+   large group of copies, and is repeated while it connects much.
+2. Lists that still have several components are merged by prefix: their
+   documents are keyed once more by their rarest shingles, as many as a
+   partner must share one of, and only those that meet there in places that
+   leave room for enough overlap are pairs; their collisions are counted and
+   their sets compared. So documents that share a template, which collide and
+   are not similar enough, mostly never meet. A key with many documents is cut
+   into blocks of ``BLOCK``, a pair of blocks a unit of work. Pairs are met in
+   arrays in a task; only those that pass the filters become rows.
 
 Recall: at similarity 0.8 a coordinate agrees with probability 0.41, so a pair
-has fewer than 2 of 36 agreements with probability 1.5e-7.
+has fewer than 2 of 36 agreements with probability 1.5e-7; all else is exact.
 
 Defined cases: null or empty text and text without words has an empty set and
 is linked with nothing; repeated rows are identical sets and all of them are
 returned; a row without doc_id takes no part and is returned with a null
-component; further columns of the input are ignored.
+component; further columns of the input are ignored; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -41,7 +48,9 @@ from pyspark.sql import functions as F
 from roadloom.llm.base import components, cut, grouped, Lean, mix64, slices, spread, texts
 from roadloom.llm.shingles import overlap, shingle_sets
 
-COORDS, ROWS, MATCHES, BLOCK = 36, 4, 2, 256
+COORDS, ROWS, MATCHES, BLOCK = 36, 4, 2, 4096
+# Documents that a leader is compared with in one unit of work; rounds of leaders at most, and the share of open documents that a round must connect for another one.
+UNIT, ROUNDS, WORTH = 256, 4, 0.05
 
 _U = np.uint64
 _RNG = np.random.default_rng(777)
@@ -91,31 +100,87 @@ def _sign(k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _confirm(k: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of each unit of work, as a spanning forest."""
+    """Links of each unit's leader with the unit's other documents."""
     for unit in grouped(batches, "unit"):
         unit = unit.combine_chunks()
-        ids = unit.column("doc_id").to_pylist()
-        sides = np.array(unit.column("side").to_pylist())
-        sets = shingle_sets([b"" if x is None else x for x in unit.column("text").cast(pa.binary()).to_pylist()], k)
-        sizes = np.array([len(s) for s in sets])
-        sig = np.array(unit.column("coords").to_pylist(), dtype=np.int64)
-        crossed = sides.min() != sides.max()
-        root = np.arange(len(ids))
-        left, right = [], []
-        for x in range(1, len(ids)):
-            fits = (sig[:x] == sig[x]).sum(axis=1) >= MATCHES
-            fits &= 100 * np.minimum(sizes[:x], sizes[x]) >= percent * np.maximum(sizes[:x], sizes[x])
-            if crossed:
-                fits &= sides[:x] != sides[x]
-            for y in np.flatnonzero(fits):
-                if root[x] != root[y]:
-                    both = overlap(sets[x], sets[y])
-                    if 100 * both >= percent * (sizes[x] + sizes[y] - both):
-                        left.append(ids[y])
-                        right.append(ids[x])
-                        root[root == root[x]] = root[y]
-        if left:
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+        at = int(np.argmax(unit.column("leads").to_numpy(zero_copy_only=False)))
+        ids, n = unit.column("doc_id").to_numpy(), unit.column("n").to_numpy()
+        sig = np.asarray(unit.column("coords").combine_chunks().flatten().to_numpy(zero_copy_only=False)).reshape(len(ids), COORDS)
+        fits = ((sig == sig[at]).sum(axis=1) >= MATCHES) & (100 * np.minimum(n, n[at]) >= percent * np.maximum(n, n[at]))
+        fits[at] = False
+        some = np.append(np.flatnonzero(fits), at)
+        if len(some) == 1:
+            continue
+        sets = shingle_sets(texts(unit.column("text").combine_chunks().take(pa.array(some))), k)
+        both = np.array([overlap(s, sets[-1]) for s in sets[:-1]])
+        linked = ids[some[:-1][100 * both >= percent * (n[some[:-1]] + n[at] - both)]]
+        if len(linked):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(linked), ids[at])), pa.array(linked)], names=["a", "b"])
+
+
+def _tokens(k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, comp, n, token) for each shingle."""
+    for whole in batches:
+        for batch in slices(whole, "text", 1_500_000):
+            sets = shingle_sets(texts(batch.column("text")), k)
+            row = pa.array(np.repeat(np.arange(len(sets)), [len(s) for s in sets]))
+            kept = [batch.column(c).take(row) for c in ("doc_id", "comp", "n")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(np.concatenate([np.zeros(0, dtype=np.uint64), *sets]).view(np.int64))], names=["doc_id", "comp", "n", "token"])
+
+
+def meet(ids: np.ndarray, comp: np.ndarray, n: np.ndarray, pos: np.ndarray, side: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of documents that share a token at places ``pos`` of their ``n`` ordered tokens and can still be similar enough: of several components, and of both sides if there are two."""
+    order = np.argsort(n, kind="stable")
+    ids, comp, n, pos, side = (x[order] for x in (ids, comp, n, pos, side))
+    left, right = [], []
+    # The most tokens that a larger partner may have, from the places that are left behind the shared token.
+    most = ((100 + percent) * (n - pos) - percent * n) // percent
+    crossed = side.min() != side.max()
+    for a in range(0, len(ids), 128):
+        x = slice(a, min(a + 128, len(ids)))
+        stop = int(np.searchsorted(n, most[x].max(), side="right"))
+        if stop <= a:
+            continue
+        y = slice(a, stop)
+        room = (100 + percent) * np.minimum((n - pos)[x, None], (n - pos)[None, y])
+        fits = (room >= percent * (n[x, None] + n[None, y])) & (comp[x, None] != comp[None, y])
+        fits &= np.arange(a, stop)[None, :] > np.arange(a, x.stop)[:, None]
+        if crossed:
+            fits &= side[x, None] != side[None, y]
+        i, j = np.nonzero(fits)
+        left.append(ids[a + i])
+        right.append(ids[a + j])
+    none = np.zeros(0, dtype=np.int64)
+    return np.concatenate([none, *left]), np.concatenate([none, *right])
+
+
+def _meet(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for unit in grouped(batches, "unit"):
+        a, b = meet(*[unit.column(c).to_numpy() for c in ("doc_id", "comp", "n", "pos", "side")], percent)
+        if len(a):
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+
+def _open(members: DataFrame) -> DataFrame:
+    """The values of lists with documents of several components."""
+    return members.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("value")
+
+
+def _pairs_by_prefix(rest: DataFrame, bodies: DataFrame, k: int, percent: int, block: int) -> DataFrame:
+    """(a, b) of (doc_id, comp): pairs of several components that share one of their rarest shingles in fitting places."""
+    tokens = cut(spread(rest.join(bodies, "doc_id").select("doc_id", "comp", "n", "text"), "doc_id").mapInArrow(Lean(_tokens, k), "doc_id long, comp long, n long, token long"), "tokens")
+    often = tokens.groupBy("token").agg(F.count("*").alias("often")).filter("often > 1")
+    ranked = tokens.join(often, "token").groupBy("doc_id", "comp", "n").agg(F.array_sort(F.collect_list(F.struct("often", "token"))).alias("t"))
+    # Tokens of one document only come first in the order of rarity and meet nothing.
+    alone = F.col("n") - F.size("t")
+    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    posts = ranked.select("doc_id", "comp", "n", alone.alias("alone"), F.posexplode(F.slice("t", F.lit(1), F.greatest(prefix - alone, F.lit(0)).cast("int"))).alias("i", "x"))
+    posts = cut(posts.select(F.col("x.token").alias("token"), "doc_id", "comp", "n", (F.col("alone") + F.col("i")).cast("long").alias("pos")), "prefixes")
+    lists = posts.groupBy("token").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
+    met = posts.join(lists.select("token", F.ceil(F.col("size") / block).cast("int").alias("blocks")), "token")
+    met = met.withColumn("side", F.pmod(F.xxhash64("doc_id"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), (F.col("blocks") - 1).cast("long"))))
+    met = met.select("doc_id", "comp", "n", "pos", F.col("side").cast("long").alias("side"), F.xxhash64("token", F.least("side", "other"), F.greatest("side", "other")).alias("unit"))
+    return spread(met, "unit").sortWithinPartitions("unit").mapInArrow(Lean(_meet, percent), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, block: int = BLOCK) -> DataFrame:
@@ -123,48 +188,42 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, block: int =
 
     Assumes that one doc_id means one text (repeated rows are fine).
     """
-    
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = cut(base.mapInArrow(Lean(_sign, k), "doc_id long, n_shingles long, f1 long, f2 long, coords array<long>"), "minhash")
     live = signed.filter("n_shingles > 0 and doc_id is not null")
     classes = cut(live.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep")), "classes")
     reps = classes.select(F.col("rep").alias("doc_id"))
-    sigs = cut(live.join(reps, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "coords"), "signatures")
+    sigs = cut(live.join(reps, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", F.col("n_shingles").alias("n"), "coords"), "signatures")
     posted = sigs.select("doc_id", F.explode(F.slice("coords", 1, COORDS - MATCHES + 1)).alias("value"))
-    lists = posted.groupBy("value").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("value", "first")
-    ties = posted.join(lists, "value").filter("first < doc_id").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
-    groups = cut(components(ties, "candidates"), "groups")
-    sizes = groups.groupBy("root").agg(F.count("*").alias("size"), F.min("node").alias("leader"))
-    placed = groups.join(sizes, "root").select(F.col("node").alias("doc_id"), "root", "leader", F.ceil(F.col("size") / block).cast("int").alias("blocks"))
-    placed = placed.withColumn("side", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    whole = groups.select(F.col("node").alias("doc_id"))
-    text = base.join(whole, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-
-    def confirmed(units: DataFrame, name: str) -> DataFrame:
-        """Links of (doc_id, unit, side): pairs of one side's documents, or between two sides."""
-        work = spread(units.join(text, "doc_id").join(sigs, "doc_id"), "unit").sortWithinPartitions("unit")
+    lists = posted.groupBy("value").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("value")
+    members = cut(posted.join(lists, "value", "left_semi"), "members")
+    bodies = cut(base.join(members.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]).join(sigs, "doc_id"), "bodies")
+
+    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
+        """The links among pairs (a, b): a is compared with ``UNIT`` documents at a time."""
+        sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / UNIT).alias("parts"))
+        dealt = pairs.join(sizes, "a").select("a", "b", F.xxhash64("a", F.pmod(F.xxhash64("b"), F.col("parts"))).alias("unit"))
+        rows = dealt.select("unit", F.col("b").alias("doc_id"), F.lit(False).alias("leads")).unionByName(dealt.select("unit", F.col("a").alias("doc_id"), F.lit(True).alias("leads")).distinct())
+        work = spread(rows.join(bodies, "doc_id"), "unit").sortWithinPartitions("unit")
         return cut(work.mapInArrow(Lean(_confirm, k, percent), "a long, b long"), name)
 
-    # First every block by itself, with the group's leader in each: a group of copies is connected after this.
-    own = placed.select("doc_id", F.xxhash64("root", "side").alias("unit"), F.lit(0).alias("side"))
-    lead = placed.filter("doc_id = leader and blocks > 1").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).filter("other != side")
-    links = confirmed(own.unionByName(lead.select("doc_id", F.xxhash64("root", "other").alias("unit"), F.lit(0).alias("side"))), "links")
-    if not sizes.filter(F.col("size") > block).isEmpty():
-        # Then what is not connected to a group's largest part, against everything.
-        parts = components(links, "parts")
-        hot = placed.filter("blocks > 1").join(parts.select(F.col("node").alias("doc_id"), F.col("root").alias("part")), "doc_id", "left")
-        hot = hot.select("doc_id", F.col("root"), F.coalesce("part", "doc_id").alias("part"))
-        tally = hot.groupBy("root", "part").agg(F.count("*").alias("c"))
-        largest = tally.groupBy("root").agg(F.max(F.struct("c", "part")).alias("m"), F.sum("c").alias("total"))
-        open_ = largest.filter("m.c < total").select("root", F.col("m.part").alias("largest"), F.ceil(F.col("m.c") / block).cast("int").alias("nb"), F.ceil((F.col("total") - F.col("m.c")) / block).cast("int").alias("rb"))
-        rows = hot.join(open_, "root")
-        inside = F.col("part") == F.col("largest")
-        number = F.when(inside, F.pmod(F.xxhash64("doc_id"), F.col("nb"))).otherwise(F.col("nb") + F.pmod(F.xxhash64("doc_id"), F.col("rb"))).cast("int")
-        facing = F.sequence(F.when(inside, F.col("nb")).otherwise(F.lit(0)), F.col("nb") + F.col("rb") - 1)
-        pairs = rows.select("doc_id", "root", number.alias("side"), F.explode(facing).alias("other"))
-        more = pairs.select("doc_id", "side", F.xxhash64("root", F.least("side", "other"), F.greatest("side", "other"), F.lit(2)).alias("unit"))
-        links = links.unionByName(confirmed(more, "more"))
-    found = components(links, "links")
+    open_ = members.withColumn("comp", F.col("doc_id"))
+    links, found = None, None
+    for r in range(ROUNDS):
+        rank = F.col("doc_id") if r == 0 else F.xxhash64("doc_id", F.lit(r))
+        leaders = open_.groupBy("value").agg(F.min(F.struct(rank.alias("rank"), "doc_id", "comp")).alias("x")).select("value", F.col("x.doc_id").alias("a"), F.col("x.comp").alias("with"))
+        ties = cut(open_.join(leaders, "value").filter("comp != with").select("a", F.col("doc_id").alias("b")).distinct(), "ties")
+        new = confirmed(ties, "links")
+        links = new if links is None else links.unionByName(new)
+        found = components(links, "links")
+        labelled = members.join(found.select(F.col("node").alias("doc_id"), F.col("root").alias("comp")), "doc_id", "left").select("value", "doc_id", F.coalesce("comp", "doc_id").alias("comp"))
+        open_ = cut(labelled.join(_open(labelled), "value", "left_semi"), "open")
+        rest = open_.select("doc_id", "comp").distinct()
+        if new.count() <= WORTH * rest.count():
+            break
+    if not open_.isEmpty():
+        links = links.unionByName(confirmed(cut(_pairs_by_prefix(rest, bodies, k, percent, block), "pairs"), "links"))
+        found = components(links, "links")
     least = found.groupBy("root").agg(F.min("node").alias("component"))
     linked = found.join(least, "root").select(F.col("node").alias("rep"), "component")
     named = classes.join(linked, "rep", "left").select("f1", "f2", F.coalesce("component", "rep").alias("component"))

@@ -94,3 +94,59 @@ def test_hot_group_with_outsiders(spark):
     assert len({c for _, c in want.values()}) > 1
     got = near_duplicates(frame(spark, rows), k=2, block=8).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+
+
+def test_boilerplate_hardly_meets(spark):
+    """Documents that share a template and are not similar enough collide often, but few of them become pairs."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from roadloom.llm.minhash import _pairs_by_prefix
+
+    rng = random.Random(8)
+    template = [f"t{i}" for i in range(120)]
+    rows = [(i, " ".join(template + [f"o{rng.randrange(10**5)}" for _ in range(rng.choice([60, 120, 200]))])) for i in range(4000)]
+    rows += [(5000 + i, " ".join(rows[i][1].split()[:-4])) for i in range(20)]
+    docs = frame(spark, rows, extra=False)
+    bodies = docs.select("doc_id", "text", (F.size(F.split("text", " ")) - 1).cast("long").alias("n"))
+    pairs = _pairs_by_prefix(docs.select("doc_id", F.col("doc_id").alias("comp")), bodies, 2, 80, 4096)
+    assert {(i, 5000 + i) for i in range(20)} <= {(r.a, r.b) for r in pairs.collect()}
+    assert pairs.count() < 2000  # of eight million
+    got = near_duplicates(docs, k=2).filter("not kept").collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(5000 + i, i) for i in range(20)}
+
+
+def test_meet_loses_no_similar_pair():
+    """Of random sets under one order of tokens: pairs at the threshold meet at the first shared token."""
+    import random
+
+    from roadloom.llm.minhash import meet
+
+    rng = random.Random(5)
+    core = list(range(1000, 1060))
+    sets = [sorted(set(rng.sample(core, rng.randrange(40, 60)) + rng.sample(range(1000), rng.randrange(12)))) for _ in range(120)]
+    met = set()
+    for token in {t for s in sets for t in s}:
+        who = [i for i, s in enumerate(sets) if token in s]
+        n, pos = (np.array(x, dtype=np.int64) for x in ([len(sets[i]) for i in who], [sets[i].index(token) for i in who]))
+        a, b = meet(np.array(who), np.array(who), n, pos, np.zeros(len(who), dtype=np.int64), 80)
+        met |= {(min(p), max(p)) for p in zip(a.tolist(), b.tolist(), strict=True)}
+    similar = {(i, j) for j in range(120) for i in range(j) if 180 * len(set(sets[i]) & set(sets[j])) >= 80 * (len(sets[i]) + len(sets[j]))}
+    assert similar and similar <= met
+
+
+def test_recall_at_the_threshold():
+    """Of planted pairs at similarity 0.80 to 0.82 all but a negligible share collide on enough coordinates."""
+    from roadloom.llm.minhash import MATCHES, signatures
+
+    rng = np.random.default_rng(3)
+    lost = 0
+    for _ in range(40):
+        sets = []
+        for _ in range(50):
+            both, more = rng.integers(0, 2**63, size=164, dtype=np.uint64), rng.integers(0, 2**63, size=40, dtype=np.uint64)
+            sets += [np.unique(np.concatenate((both, more[:20]))), np.unique(np.concatenate((both, more[20:])))]
+        sig = signatures(sets)
+        lost += int(((sig[::2] == sig[1::2]).sum(axis=1) < MATCHES).sum())
+    assert lost == 0
