@@ -38,6 +38,13 @@ def from_text(text: str) -> np.ndarray:
     return np.frombuffer(base64.b64decode(text), dtype=">i2").astype(np.int16)
 
 
+def coefficients_in(text: Column, k: int = COEFFICIENTS) -> Column:
+    """array<int>: the coefficients that a text holds."""
+    raw = F.unbase64(text)
+    unsigned = lambda i: F.conv(F.hex(F.substring(raw, 2 * i + 1, F.lit(2))), 16, 10).cast("int")
+    return F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.when(unsigned(i) < 32768, unsigned(i)).otherwise(unsigned(i) - 65536))
+
+
 def coefficients_of(profile: Column, k: int = COEFFICIENTS, n: int = SLOTS_PER_WEEK) -> Column:
     """The same coefficients by higher-order functions: array<int> of an array of n doubles."""
 

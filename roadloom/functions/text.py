@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Texts that stand for a missing value.
-NULL_TEXTS = ["nan", "none", "inf", "na", ""]
+NULL_TEXTS = ["nan", "none", "inf", "-inf", "+inf", "na", ""]
 
 
 def try_double(c: Column) -> Column:
@@ -38,9 +38,8 @@ def number_or_zero(c: Column) -> Column:
 
 
 def is_missing(c: Column, numeric: bool = False) -> Column:
-    """Null, NaN, infinite, or a text that stands for one."""
-    text = F.lower(F.trim(c.cast("string"))).isin(NULL_TEXTS)
-    return c.isNull() | (F.isnan(c) | (F.abs(c) == float("inf")) if numeric else text)
+    """Null, NaN, or a text that, in either case and as it is (not trimmed), stands for a missing value. Infinite numbers are numbers."""
+    return c.isNull() | (F.isnan(c) if numeric else F.lower(c.cast("string")).isin(NULL_TEXTS))
 
 
 def first_number(c: Column) -> Column:

@@ -118,18 +118,22 @@ def trimmed_means(obs: DataFrame, edge: str, slot: str, speed: str, factor: floa
 
 
 def hampel(x: np.ndarray, window: int, sigmas: float, scale: float) -> np.ndarray:
-    """Rows smoothed by a Hampel filter; the ends use the first and last whole window. Single precision out."""
+    """Weeks (rows) whose outliers are replaced by their window's median. Single precision out.
+
+    A slot's window is that around the nearest slot with a whole window: the week's ends share the first and the last
+    one. Weeks shorter than a window have none and stay as they are.
+    """
     if window < 3 or window % 2 == 0:
         raise ValueError("the window must be odd and at least 3")
-    half = window // 2
-    if x.shape[1] < window:
-        return x.astype(np.float32)
-    frames = np.lib.stride_tricks.sliding_window_view(x, window, axis=1)
-    median = np.median(frames, axis=2)
-    mad = np.median(np.abs(frames - median[:, :, None]), axis=2)
-    edge = lambda a: np.pad(a, ((0, 0), (half, half)), mode="edge")
-    median, mad = edge(median), edge(mad)
-    return np.where(np.abs(x - median) > sigmas * scale * mad, median, x).astype(np.float32)
+    slots, reach = x.shape[1], window // 2
+    if slots >= window:
+        centre = np.clip(np.arange(slots), reach, slots - 1 - reach)
+        middle = lambda values: np.partition(values, reach, axis=2)[:, :, reach]
+        near = x[:, centre[:, None] + np.arange(-reach, reach + 1)]
+        usual = middle(near)
+        deviation = middle(np.abs(near - usual[:, :, None]))
+        x = np.where(np.abs(x - usual) <= sigmas * scale * deviation, x, usual)
+    return x.astype(np.float32)
 
 
 def _profile(edge: str, p: Params, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,9 +147,10 @@ def _profile(edge: str, p: Params, batches: Iterator[pa.RecordBatch]) -> Iterato
             yield pa.RecordBatch.from_arrays([part, pa.array(list(smooth), pa.list_(pa.float32())), pa.array(text)], names=[edge, "profile", "encoded"])
 
 
-def smooth_profiles(means: DataFrame, defaults: DataFrame, edge: str, p: Params) -> DataFrame:
-    """(edge, profile array<float>, encoded): trimmed means by slot, the edge's default elsewhere, Hampel-smoothed and encoded. ``defaults`` has (edge, default_kph)."""
-    w = weeks(means.filter("speed_kph is not null"), edge, "slot", "speed_kph").join(defaults, edge)
+def smooth_profiles(means: DataFrame, defaults: DataFrame | float, edge: str, p: Params) -> DataFrame:
+    """(edge, profile array<float>, encoded): trimmed means by slot, the edge's default elsewhere, Hampel-smoothed and encoded. ``defaults`` is one speed for all, or (edge, default_kph)."""
+    w = weeks(means.filter("speed_kph is not null"), edge, "slot", "speed_kph")
+    w = w.join(defaults, edge) if isinstance(defaults, DataFrame) else w.withColumn("default_kph", F.lit(float(defaults)))
     kind = w.schema[edge].dataType.simpleString()
     return w.select(edge, "week", "default_kph").mapInArrow(partial(_profile, edge, p), f"{edge} {kind}, profile array<float>, encoded string")
 

@@ -81,8 +81,7 @@ def _profiles(f: Frames, p: Params) -> dict[str, DataFrame]:
     if p.exclude_tunnels and "tunnel_edges" in f:
         filled = profiles.without_edges(filled, f["tunnel_edges"], "edge_id")
     means = profiles.trimmed_means(filled, "edge_id", "slot", "speed_kph", p.iqr_factor)
-    defaults = filled.select("edge_id").distinct().withColumn("default_kph", F.lit(p.freeflow_kph * p.default_speed_factor))
-    return {"profiles": profiles.smooth_profiles(means, defaults, "edge_id", p)}
+    return {"profiles": profiles.smooth_profiles(means, p.freeflow_kph * p.default_speed_factor, "edge_id", p)}
 
 
 def stages(matcher: Callable[[DataFrame], Matcher] | Matcher) -> list[Stage]:

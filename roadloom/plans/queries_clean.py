@@ -390,11 +390,14 @@ def f09(t: Tables) -> DataFrame:
     return t.supplier.select("s_suppkey", tx.first_number(F.col("s_name")).alias("number"), tx.contains_folded(F.col("s_name"), "SUPP").alias("is_supp"), tx.name_tail(path).alias("tail"))
 
 
-@query("f12_is_missing", "select event_id, event_id % 7 < 5 as missing from $hbp")
+@query("f12_is_missing", """select event_id, x is null or lower(x) in ('nan', 'none', 'inf', '-inf', '+inf', 'na', '') as missing, v is null or isnan(v) as missing_number from (select event_id,
+  ['nan', 'None', 'INF', '-inf', '+Inf', 'NA', '', null, '1.5', 'name', ' nan ', 'infinity', 'n/a'][event_id % 13 + 1] as x, ['nan'::double, 'inf'::double, '-inf'::double, null, 0, 1.5][event_id % 6 + 1] as v from $hbp) a""")
 def f12(t: Tables) -> DataFrame:
-    k = F.col("event_id") % 7
-    c = F.when(k == 0, "nan").when(k == 1, "None").when(k == 2, "INF").when(k == 3, "").when(k == 5, "1.5").when(k == 6, "name")
-    return t.hbp.select("event_id", tx.is_missing(c).alias("missing"))
+    """Every text that stands for a missing value, and some that don't: padded ones, and infinite numbers."""
+    texts = F.array(*[F.lit(x) for x in ("nan", "None", "INF", "-inf", "+Inf", "NA", "", None, "1.5", "name", " nan ", "infinity", "n/a")])
+    numbers = F.array(*[F.lit(x).cast("double") for x in (float("nan"), float("inf"), float("-inf"), None, 0.0, 1.5)])
+    x, v = F.get(texts, (F.col("event_id") % 13).cast("int")), F.get(numbers, (F.col("event_id") % 6).cast("int"))
+    return t.hbp.select("event_id", tx.is_missing(x).alias("missing"), tx.is_missing(v, numeric=True).alias("missing_number"))
 
 
 @query("f26_f27_json_shapes", """select trip_id, concat('[', string_agg(concat('{"lat":', cast(event_id % 90 as varchar), ',"lon":', cast(event_id % 180 as varchar), '}'), ',' order by t, event_id), ']') as shape from $pts group by trip_id""")

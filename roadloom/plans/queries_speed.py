@@ -146,7 +146,7 @@ def a19(t: Tables) -> DataFrame:
     return got.select("trip_id", F.array_join(speeds.edge_ids(F.col("edges")), ",").alias("ids"))
 
 
-FILL = """base AS MATERIALIZED (select edge_no, slot, sum(speed_kph) as s, count(*) as c from $obs where edge_no < 12 and slot % 5 = edge_no % 5 group by edge_no, slot),
+FILL = """base AS MATERIALIZED (select edge_no, slot, sum(speed_kph) as s, count(*) as c from $obs group by edge_no, slot),
 grid AS MATERIALIZED (select e.edge_no, g.slot, coalesce(s, 0) as s, coalesce(c, 0)::double as c from (select distinct edge_no from base) e cross join (select unnest(range(2016)) as slot) g left join base b on b.edge_no = e.edge_no and b.slot = g.slot),
 ahead AS MATERIALIZED (select *, coalesce(sum(s) over w, 0) as fs, coalesce(sum(c) over w, 0) as fc from grid window w as (partition by edge_no order by slot rows between 1 following and 3 following)),
 walk AS (select edge_no, -1::bigint as slot, [0::double, 0, 0] as ps, [0::double, 0, 0] as pc, 0::double as v, 0::double as n, false as filled from (select distinct edge_no from base) x
@@ -157,12 +157,6 @@ walk AS (select edge_no, -1::bigint as slot, [0::double, 0, 0] as ps, [0::double
 
 @query("w06_temporal_fill", "select edge_no, cast(slot as int) as slot, round(v, 6) as speed_kph, filled from walk where slot >= 0 and n > 0", FILL)
 def w06(t: Tables) -> DataFrame:
-    few = t.obs.filter("edge_no < 12 and slot % 5 = edge_no % 5")
-    return profiles.fill_temporal(few, "edge_no", "slot", "speed_kph", P.neighbor_size).withColumn("speed_kph", r6("speed_kph"))
-
-
-@query("w06_temporal_fill_all_edges", "select edge_no, cast(slot as int) as slot, round(v, 6) as speed_kph, filled from walk where slot >= 0 and n > 0", FILL.replace(" where edge_no < 12 and slot % 5 = edge_no % 5", ""))
-def w06_all(t: Tables) -> DataFrame:
     return profiles.fill_temporal(t.obs, "edge_no", "slot", "speed_kph", P.neighbor_size).withColumn("speed_kph", r6("speed_kph"))
 
 
@@ -174,60 +168,29 @@ def w07(t: Tables) -> DataFrame:
     return profiles.fill_same_time(means, "edge_no").withColumn("speed_kph", r6("speed_kph"))
 
 
-PROFILE = """m AS MATERIALIZED (select o.edge_no, o.slot, avg(speed_kph) as v from $obs o join (select edge_no, slot, quantile_cont(speed_kph, 0.25) as q1, quantile_cont(speed_kph, 0.75) as q3 from obs where edge_no < 10 group by edge_no, slot) q
+PROFILE = """m AS MATERIALIZED (select o.edge_no, o.slot, avg(speed_kph) as v from $obs o join (select edge_no, slot, quantile_cont(speed_kph, 0.25) as q1, quantile_cont(speed_kph, 0.75) as q3 from obs group by edge_no, slot) q
   on o.edge_no = q.edge_no and o.slot = q.slot and speed_kph between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1) group by o.edge_no, o.slot),
 g AS MATERIALIZED (select e.edge_no, s.slot, cast(coalesce(m.v, 40) as float)::double as x from (select distinct edge_no from m) e cross join (select unnest(range(2016)) as slot) s left join m on m.edge_no = e.edge_no and m.slot = s.slot),
 f AS MATERIALIZED (select edge_no, slot, median(x) over w as md, mad(x) over w as ad from g window w as (partition by edge_no order by slot rows between 7 preceding and 7 following)),
 h AS MATERIALIZED (select g.edge_no, g.slot, cast(case when abs(x - md) > 2.5::double * 1.4826::double * ad then md else x end as float)::double as v from g join f on f.edge_no = g.edge_no and f.slot = greatest(7, least(2008, g.slot)))"""
 
-PROFILE_ALL = PROFILE.replace(" where edge_no < 10", "")
-
 
 def _profiles(obs: DataFrame) -> DataFrame:
     means = profiles.trimmed_means(obs, "edge_no", "slot", "speed_kph", P.iqr_factor)
-    defaults = obs.select("edge_no").distinct().withColumn("default_kph", F.lit(P.freeflow_kph * P.default_speed_factor))
-    return profiles.smooth_profiles(means, defaults, "edge_no", P)
-
-
-def _few(t: Tables) -> DataFrame:
-    """The edges that the SQL of the queries without _all_edges is limited to."""
-    return t.obs.filter("edge_no < 10")
-
-
-def _smoothed(obs: DataFrame) -> DataFrame:
-    return _profiles(obs).select("edge_no", F.posexplode("profile").alias("slot", "v")).select("edge_no", "slot", F.round(F.col("v").cast("double"), 4).alias("speed_kph"))
+    return profiles.smooth_profiles(means, P.freeflow_kph * P.default_speed_factor, "edge_no", P)
 
 
-SMOOTHED = "select edge_no, cast(slot as int) as slot, round(v, 4) as speed_kph from h"
-
-
-@query("w05_hampel", SMOOTHED, PROFILE)
+@query("w05_hampel", "select edge_no, cast(slot as int) as slot, round(v, 4) as speed_kph from h", PROFILE)
 def w05(t: Tables) -> DataFrame:
-    return _smoothed(_few(t))
-
-
-@query("w05_hampel_all_edges", SMOOTHED, PROFILE_ALL)
-def w05_all(t: Tables) -> DataFrame:
-    return _smoothed(t.obs)
-
-
-DCT = """select edge_no, k, cast(round_even(sum(v * cos(pi() / 2016 * k * (slot + 0.5::double))) * case when k = 0 then sqrt(1 / 2016::double) else sqrt(2 / 2016::double) end, 0) as int) as coefficient
-  from h, (select cast(unnest(range(200)) as int) as k) ks group by edge_no, k"""
-
+    smooth = _profiles(t.obs).select("edge_no", F.posexplode("profile").alias("slot", "v"))
+    return smooth.select("edge_no", "slot", F.round(F.col("v").cast("double"), 4).alias("speed_kph"))
 
-def _coefficients(obs: DataFrame) -> DataFrame:
-    c = _profiles(obs).select("edge_no", encode.coefficients_of(F.transform("profile", lambda v: v.cast("double"))).alias("c"))
-    return c.select("edge_no", F.posexplode("c").alias("k", "coefficient"))
 
-
-@query("m03_dct", DCT, PROFILE)
+@query("m03_dct", """select edge_no, k, cast(round_even(sum(v * cos(pi() / 2016 * k * (slot + 0.5::double))) * case when k = 0 then sqrt(1 / 2016::double) else sqrt(2 / 2016::double) end, 0) as int) as coefficient
+  from h, (select cast(unnest(range(200)) as int) as k) ks group by edge_no, k""", PROFILE)
 def m03(t: Tables) -> DataFrame:
-    return _coefficients(_few(t))
-
-
-@query("m03_dct_all_edges", DCT, PROFILE_ALL)
-def m03_all(t: Tables) -> DataFrame:
-    return _coefficients(t.obs)
+    """The coefficients that the encoded profiles hold."""
+    return _profiles(t.obs).select("edge_no", F.posexplode(encode.coefficients_in(F.col("encoded"))).alias("k", "coefficient"))
 
 
 CONSTANT = "select cast(v as bigint) as kph, concat(substr(x, 1, 4), repeat('0', 796)) as code from (select v, lower(format('{:08x}', cast(round_even(v * sqrt(2016::double), 0) as int)))[5:8] as x from (select unnest(range(10, 130, 10)) as v) a) b"
@@ -383,7 +346,7 @@ def snk03(t: Tables) -> DataFrame:
     return t.spark.read.schema("meter_id string, event_id long, location string").option("header", True).csv(path).groupBy("meter_id").agg(F.count("*").alias("n"))
 
 
-TILE_FILES = "select concat(g & 7, '/', lpad(cast((g >> 3) & 4194303 as varchar), 3, '0'), '.csv') as file_path, count(*) as n from (select distinct graph_id as g from $obs where edge_no < 10) x group by 1"
+TILE_FILES = "select concat(g & 7, '/', lpad(cast((g >> 3) & 4194303 as varchar), 3, '0'), '.csv') as file_path, count(*) as n from (select distinct graph_id as g from $obs) x group by 1"
 
 
 def _tile_files(t: Tables, obs: DataFrame) -> DataFrame:
@@ -394,11 +357,6 @@ def _tile_files(t: Tables, obs: DataFrame) -> DataFrame:
 
 @query("snk06_tile_csv", TILE_FILES)
 def snk06(t: Tables) -> DataFrame:
-    return _tile_files(t, _few(t))
-
-
-@query("snk06_tile_csv_all_edges", TILE_FILES.replace(" where edge_no < 10", ""))
-def snk06_all(t: Tables) -> DataFrame:
     return _tile_files(t, t.obs)
 
 
@@ -495,17 +453,29 @@ def x01(t: Tables) -> DataFrame:
     return state.frames["profiles"].select("edge_id", F.size("profile").alias("slots"), r6(mean).alias("mean_kph"))
 
 
-@query("st06_exact_state")
-def st06(t: Tables) -> DataFrame:
-    """Sliding samples kept as state: one batch a file, the last answer of each edge."""
+LAST_ANSWERS = """select edge, m as now, round(sum(speed * k) / sum(k), 6) as speed_kph, count(*) as samples from (select edge, speed, m, greatest(0.1, 1 - (m - t) / 3600::double) as k from (select *, max(t) over (partition by edge) as m from
+  (select cast(cast(trunc(abs(lat) * 100000::double + abs(lon) * 100000::double) as bigint) % 10000 as int) as edge, speed, t::double as t from $hbp where lat between 22 and 22.6 and lon between 113.8 and 114.3 and speed between 0 and 150) a) b where t > m - 3600) c group by edge, m"""
+
+
+def _states(t: Tables) -> tuple[DataFrame, list]:
+    """Answers of the exact state over three files in the order of time, with their batch, and the query's progress."""
     path, out = scratch(t.spark, "state"), scratch(t.spark, "states")
     rows = stream.samples_of(t.hbp, LIVE).select("edge", F.unix_timestamp("ts").cast("double").alias("t"), "speed")
+    least, most = rows.agg(F.min("t"), F.max("t")).first()
+    third = F.least(F.floor((F.col("t") - least) / ((most - least) / 3)), F.lit(2))
     for k in range(3):
-        rows.filter(F.col("edge") % 3 == k).coalesce(1).write.mode("append").parquet(path)
+        rows.filter(third == k).coalesce(1).write.mode("append").parquet(path)
     live_rows = t.spark.readStream.schema("edge int, t double, speed double").option("maxFilesPerTrigger", 1).parquet(path)
     q = stream.publish_each(stream.exact_state(live_rows, LIVE), scratch(t.spark, "offsets"), lambda df, i: df.write.mode("overwrite").parquet(f"{out}/batch={i}")).trigger(availableNow=True).start()
     q.awaitTermination()
-    return t.spark.read.parquet(out).select("edge", "now", r6("speed_kph").alias("speed_kph"), "samples")
+    return t.spark.read.parquet(out), q.recentProgress
+
+
+@query("st06_exact_state", LAST_ANSWERS)
+def st06(t: Tables) -> DataFrame:
+    """Sliding samples kept as state: the last answer of each edge."""
+    last = _states(t)[0].groupBy("edge").agg(F.max_by(F.struct("now", "speed_kph", "samples"), "batch").alias("x"))
+    return last.select("edge", "x.now", r6("x.speed_kph").alias("speed_kph"), "x.samples")
 
 
 @query("snk15_snk16_publish_swap", f"select 7::bigint as tile, cast(g.i as int) as edge_index, (coalesce({REC}, 268435455) & ~(127::bigint | (255::bigint << 28))) | 33 | (255::bigint << 28) as record, 2::bigint as last_update from (select unnest(range(105)) as i) g left join rec on rec.edge_index = g.i", LAST)
@@ -553,3 +523,11 @@ def st03(t: Tables) -> DataFrame:
     rows = stream.samples_of(t.hbp, LIVE).select("edge", F.unix_seconds("ts").alias("t"))
     last = rows.withColumn("m", F.max("t").over(Window.partitionBy("edge")))
     return last.filter(F.col("t") > F.col("m") - LIVE.window_s).groupBy("edge").agg(F.max("t").alias("now"), F.count("*").alias("kept"))
+
+
+@query("st03_expired_keys", LAST_ANSWERS.replace("select edge, m as now, round(sum(speed * k) / sum(k), 6) as speed_kph, count(*) as samples from", "select count(distinct edge) as edges, count(distinct case when m + 3600 >= (select max(t) from $hbp where lat between 22 and 22.6 and lon between 113.8 and 114.3 and speed between 0 and 150) - 60 then edge end) as alive from").removesuffix(" group by edge, m"))
+def st03b(t: Tables) -> DataFrame:
+    """Edges that the stream has seen, and those that still have state when it ends: silent ones are dropped by event time."""
+    out, progress = _states(t)
+    alive = int(progress[-1]["stateOperators"][0]["numRowsTotal"])
+    return out.agg(F.count_distinct("edge").alias("edges")).select("edges", F.lit(alive).cast("long").alias("alive"))

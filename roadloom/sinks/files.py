@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import time
 from collections.abc import Iterator
+from contextlib import contextmanager, suppress
 
 import numpy as np
 import pyarrow as pa
@@ -87,9 +88,36 @@ def write_archive(dense: DataFrame, path: str, updated: int | None = None) -> in
     return write_tar(path, ((r["member"], bytes(r["blob"])) for r in blobs.toLocalIterator()))
 
 
+class Busy(RuntimeError):
+    """Somebody else publishes to the folder."""
+
+
+@contextmanager
+def single_writer(folder: str, stale_s: float = 3600.0) -> Iterator[None]:
+    """Holds the folder's lock file, which only one writer can make; one that is older than ``stale_s`` was left by a writer that died."""
+    lock = os.path.join(folder, "writer.lock")
+    with suppress(FileNotFoundError):
+        if time.time() - os.stat(lock).st_mtime > stale_s:
+            os.remove(lock)
+    try:
+        os.close(os.open(lock, os.O_CREAT | os.O_EXCL | os.O_WRONLY))
+    except FileExistsError:
+        raise Busy(f"{lock} is held by another writer") from None
+    try:
+        yield
+    finally:
+        with suppress(FileNotFoundError):
+            os.remove(lock)
+
+
 def publish(dense: DataFrame, folder: str, updated: int | None = None, least_bytes: int = 512) -> str | None:
-    """Double buffer: builds beside the standby file, checks it, puts it in its place and turns ``current`` to it. Readers see the old archive or the new one. None if the check fails."""
+    """Double buffer: builds beside the standby file, checks it, puts it in its place and turns ``current`` to it. Readers see the old archive or the new one; one writer at a time. None if the check fails."""
     os.makedirs(folder, exist_ok=True)
+    with single_writer(folder):
+        return _swap(dense, folder, updated, least_bytes)
+
+
+def _swap(dense: DataFrame, folder: str, updated: int | None, least_bytes: int) -> str | None:
     current = os.path.join(folder, "current")
     active = os.path.basename(os.readlink(current)) if os.path.islink(current) else "b.tar"
     standby = "a.tar" if active == "b.tar" else "b.tar"

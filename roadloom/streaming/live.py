@@ -37,8 +37,15 @@ def samples_of(hb: DataFrame, p: Params) -> DataFrame:
     return good.select(pseudo_edge(F.col("lat"), F.col("lon")).alias("edge"), "speed", F.timestamp_seconds("t").alias("ts"))
 
 
+# A stream's watermark begins at the epoch, where samples would count as late; event time is moved on by a day.
+SHIFT_S = 86_400
+
+
 def _latest(p: Params):
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         times, speeds = (list(x) for x in state.get) if state.exists else ([], [])
         for batch in batches:
             times += batch["t"].tolist()
@@ -46,6 +53,8 @@ def _latest(p: Params):
         now = max(times)
         kept = [(t, s) for t, s in zip(times, speeds, strict=True) if t > now - p.window_s]
         state.update(([t for t, _ in kept], [s for _, s in kept]))
+        # When event time has passed the window behind the last sample, none is left.
+        state.setTimeoutTimestamp(max(int((now + SHIFT_S + p.window_s) * 1000), state.getCurrentWatermarkMs() + 1))
         weights = [max(p.weight_floor, 1 - (now - t) / p.window_s) for t, _ in kept]
         mean = sum(w * s for w, (_, s) in zip(weights, kept, strict=True)) / sum(weights)
         yield pd.DataFrame({"edge": [key[0]], "now": [now], "speed_kph": [mean], "samples": [len(kept)]})
@@ -53,10 +62,16 @@ def _latest(p: Params):
     return update
 
 
-def exact_state(samples: DataFrame, p: Params) -> DataFrame:
-    """(edge, now, speed_kph, samples) after each batch: the kept samples of an edge as state, pruned to the window. ``samples`` has (edge, t double, speed)."""
-    return samples.groupBy("edge").applyInPandasWithState(
-        _latest(p), "edge int, now double, speed_kph double, samples long", "times array<double>, speeds array<double>", "update", GroupStateTimeout.NoTimeout
+def exact_state(samples: DataFrame, p: Params, late: str = "1 minute") -> DataFrame:
+    """(edge, now, speed_kph, samples) after each batch: the kept samples of an edge as state, pruned to the window.
+
+    ``samples`` has (edge, t double, speed). The state of an edge that falls
+    silent is dropped once event time is a window past its last sample; samples
+    that are ``late`` or later are left out.
+    """
+    timed = samples.select("edge", "t", "speed", F.timestamp_seconds(F.col("t") + SHIFT_S).alias("ts")).withWatermark("ts", late)
+    return timed.groupBy("edge").applyInPandasWithState(
+        _latest(p), "edge int, now double, speed_kph double, samples long", "times array<double>, speeds array<double>", "update", GroupStateTimeout.EventTimeTimeout
     )
 
 

@@ -75,6 +75,19 @@ def test_fill_fold_equals_matrix(spark):
     assert fold == full
 
 
+def test_hampel_by_definition():
+    rng = np.random.default_rng(2)
+    x = np.where(rng.random((3, 60)) < 0.1, 120.0, rng.normal(40, 3, (3, 60)))
+    got = profiles.hampel(x, 7, 2.5, 1.4826)
+    for i in range(3):
+        for t in range(60):
+            c = min(max(t, 3), 56)
+            w = x[i, c - 3 : c + 4]
+            m = np.median(w)
+            want = m if abs(x[i, t] - m) > 2.5 * 1.4826 * np.median(np.abs(w - m)) else x[i, t]
+            assert got[i, t] == np.float32(want)
+
+
 def test_hampel():
     x = np.full((1, 40), 50.0)
     x[0, [0, 20, 39]] = 500
@@ -131,6 +144,19 @@ def test_sampling_repeats_itself(spark):
     assert a == b and len({x % 20 for x in a}) == 6
 
 
+def test_one_writer_at_a_time(tmp_path):
+    import os
+
+    folder = str(tmp_path)
+    with sinks.single_writer(folder), pytest.raises(sinks.Busy), sinks.single_writer(folder):
+        pass
+    (tmp_path / "writer.lock").touch()
+    os.utime(tmp_path / "writer.lock", (0, 0))
+    with sinks.single_writer(folder):
+        pass
+    assert not (tmp_path / "writer.lock").exists()
+
+
 def test_publish_swaps(spark, tmp_path):
     folder = str(tmp_path / "live")
     tile = live.constant_tile(spark, 7, 100, 20)
@@ -201,6 +227,20 @@ def test_exact_state_stream(spark, tmp_path):
     assert got == {30.0: (round((0.5 * 10 + 20) / 1.5, 6), 2), 61.0: (round((w * 20 + 40) / (w + 1), 6), 2)}
 
 
+def test_exact_state_drops_silent_edges(spark, tmp_path):
+    """An edge without samples for a window of event time has no state left; one that goes on has."""
+    p = Params(window_s=60)
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    kind = "edge int, t double, speed double"
+    for rows in ([(1, 0.0, 10.0), (2, 0.0, 10.0)], [(2, 300.0, 20.0)], [(1, 301.0, 30.0)]):
+        spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(path)
+        q = stream.publish_each(stream.exact_state(spark.readStream.schema(kind).parquet(path), p), str(tmp_path / "c"), lambda df, i: df.write.mode("overwrite").parquet(f"{out}/batch={i}")).trigger(availableNow=True).start()
+        q.awaitTermination()
+        alive = q.recentProgress[-1]["stateOperators"][0]["numRowsTotal"]
+        assert alive == (2 if rows[0][1] != 300.0 else 1)
+    assert {(r.edge, r.now, r.samples) for r in spark.read.parquet(out).collect()} == {(1, 0.0, 1), (2, 0.0, 1), (2, 300.0, 1), (1, 301.0, 1)}
+
+
 def test_toggles(spark):
     hb = spark.createDataFrame([(1, 0, 22.0, 114.0, 1)], "vehicle long, t long, lat double, lon double, event_id long")
     t = spark.createDataFrame([(1, 1, 0, 10)], "vehicle long, trip_id long, start_s long, end_s long")

@@ -20,7 +20,7 @@ def test_entry(spark):
     assert len(e.entry(spark).columns) == 6
 
 
-@pytest.mark.parametrize("name", ["w05_hampel_all_edges", "w06_temporal_fill_all_edges", "m03_dct_all_edges", "m06_decode_profile"])
+@pytest.mark.parametrize("name", ["w05_hampel", "w06_temporal_fill", "m03_dct", "m06_decode_profile"])
 def test_every_edge(spark, name):
     from roadloom.plans.views import Tables
 
