@@ -30,6 +30,7 @@ FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN component c
 def op2() -> str:
     phrases = ", ".join(f"({_quoted(p)}, {_quoted(label)}, {p.count(' ') + 1})" for p, label in licenses.PHRASES.items())
     tokens = ", ".join(f"({i}, {_quoted(label)}, {_quoted(p)})" for i, (label, t) in enumerate(licenses.TEMPLATES) for p in licenses._pairs(t))
+    step = licenses.step_of(licenses.TEMPLATES)
     return rf"""
 WITH phrases(phrase, label, size) AS (VALUES {phrases}), tokens(template, label, pair) AS (VALUES {tokens}),
 needs AS (SELECT template, any_value(label) AS label, count(*) AS n, cast(ceil(count(*) * {licenses.PERCENT} / 100) AS BIGINT) AS need FROM tokens GROUP BY template),
@@ -38,12 +39,12 @@ words AS MATERIALIZED (SELECT doc_id, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x6
 grams AS MATERIALIZED (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM words),
 places AS MATERIALIZED (SELECT g.doc_id, g.i - 1 AS start_no, p.label FROM grams g JOIN phrases p ON array_to_string(g.w[g.i : g.i + p.size - 1], ' ') = p.phrase),
 base AS (SELECT doc_id, count(*) AS n, min(start_no) AS a, max(start_no) AS b FROM places GROUP BY doc_id),
-line AS MATERIALIZED (SELECT doc_id, unnest(string_split(t, chr(10))) AS l, generate_subscripts(string_split(t, chr(10)), 1) AS no FROM low),
-line_words AS MATERIALIZED (SELECT doc_id, no, regexp_extract_all(l, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM line),
-line_pairs AS MATERIALIZED (SELECT DISTINCT doc_id, no, pair FROM (SELECT doc_id, no, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS pair FROM line_words) x WHERE pair IN (SELECT pair FROM tokens)),
+paragraph AS MATERIALIZED (SELECT doc_id, regexp_extract_all(l, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w, no FROM (SELECT doc_id, unnest(string_split_regex(t, '\n[ \t\r]*\n')) AS l, generate_subscripts(string_split_regex(t, '\n[ \t\r]*\n'), 1) AS no FROM low) x),
+block AS MATERIALIZED (SELECT doc_id, no, k, w[k * {step} + 1 : k * {step} + {2 * step}] AS w FROM (SELECT *, unnest(range(0, greatest(1, cast(ceil(len(w) / {step}) AS BIGINT) - 1))) AS k FROM paragraph) x),
+block_pairs AS MATERIALIZED (SELECT DISTINCT doc_id, no, k, pair FROM (SELECT doc_id, no, k, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS pair FROM block) x WHERE pair IN (SELECT pair FROM tokens)),
 matches AS MATERIALIZED (
-  SELECT doc_id, no, template, any_value(m.label) AS label, count(*) / any_value(n.n)::DOUBLE AS score FROM line_pairs JOIN tokens m USING (pair) JOIN needs n USING (template)
-  GROUP BY doc_id, no, template HAVING count(*) >= any_value(n.need)),
+  SELECT doc_id, no, k, template, any_value(m.label) AS label, count(*) / any_value(n.n)::DOUBLE AS score FROM block_pairs JOIN tokens m USING (pair) JOIN needs n USING (template)
+  GROUP BY doc_id, no, k, template HAVING count(*) >= any_value(n.need)),
 every AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM places UNION ALL SELECT doc_id, label FROM matches) x GROUP BY doc_id),
 based AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM places GROUP BY doc_id),
 best AS (SELECT doc_id, max(score) AS score FROM matches GROUP BY doc_id)

@@ -29,22 +29,52 @@ def test_licenses(spark):
     assert licenses.scan(frame(spark, [])).collect() == []
 
 
+def contained(text, templates, step):
+    """(label, score, block) by plain comparison of all windows with all templates."""
+    pairs = lambda ws: {" ".join(p) for p in zip(ws, ws[1:], strict=False)}
+    out, number = set(), 0
+    for paragraph in re.split(r"\n[ \t\r]*\n", text):
+        ws = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), paragraph))
+        for k in range(max(1, -(-len(ws) // step) - 1)):
+            mine = pairs(ws[k * step : (k + 2) * step])
+            for label, t in templates:
+                want = pairs(t.split())
+                if want and len(want & mine) * 100 >= 80 * len(want):
+                    out.add((label, round(len(want & mine) / len(want), 9), number))
+            number += 1
+    return out
+
+
 def test_containment_is_exact(spark):
-    """The join with its filters finds what a plain comparison of all lines and templates finds."""
+    """The join with its filters finds what a plain comparison of all blocks and templates finds, line breaks or not."""
     import random
 
     rng = random.Random(4)
     rows = []
-    for i in range(200):
+    for i in range(300):
         w = rng.choice(licenses.TEMPLATES)[1].split()
         for _ in range(rng.randrange(4)):
             w[rng.randrange(len(w))] = rng.choice(["foo", "the", "license"])
-        rows.append((i, "intro\n" + " ".join(w) + "\nend"))
-    got = {r.doc_id: {(m.label, round(m.score, 9), m.line) for m in r.matches} for r in licenses.scan(frame(spark, rows)).collect()}
-    for i, t in rows:
-        pairs = lambda s: {" ".join(p) for p in zip(s.split(), s.split()[1:], strict=False)}
-        want = {(label, round(len(pairs(x) & pairs(line)) / len(pairs(x)), 9), n) for n, line in enumerate(t.split("\n")) for label, x in licenses.TEMPLATES if len(pairs(x) & pairs(line)) * 100 >= 80 * len(pairs(x))}
-        assert got[i] == want
+        filler = [f"f{rng.randrange(50)}" for _ in range(rng.choice([0, 3, 90]))]
+        w = filler + w + filler[::-1]
+        text = "".join(x + rng.choice([" ", " ", "\n", "\n# ", ", ", "\n \n" if rng.random() < 0.1 else " "]) for x in w)
+        rows.append((i, "Intro\n" + text + "\n\nend"))
+    rows += [(400, rows[0][1]), (None, rows[1][1]), (401, "word " * 20_000 + rows[2][1]), (402, None), (403, "")]
+    for templates in (licenses.TEMPLATES, [("long", " ".join(f"t{i % 70}x{i % 9}" for i in range(150))), ("one", "single"), ("mit", "the mit license")]):
+        got = licenses.scan(frame(spark, [*rows, (500, "a " + templates[0][1].replace(" ", "\n"))]), templates=templates).collect()
+        want = {i: contained(t or "", templates, licenses.step_of(templates)) for i, t in [*rows, (500, "a " + templates[0][1])]}
+        assert any(want.values())
+        for r in got:
+            assert {(m.label, round(m.score, 9), m.block) for m in r.matches} == want[r.doc_id]
+
+
+def test_wrapped_notices(spark):
+    notices = {
+        1: "Permission is hereby granted, free of charge, to any person\nobtaining a copy of this software", 2: "Redistribution and use in source and binary forms, with or\nwithout modification, are permitted",
+        3: "This work is licensed under the\n# GNU GENERAL PUBLIC LICENSE\n# Version 3", 4: "Licensed under a Creative Commons\r\nAttribution 4.0 International\r\nLicense.", 5: "Licensed under\n\nCC BY",
+    }
+    got = {r.doc_id: r.labels for r in licenses.scan(frame(spark, list(notices.items()))).collect()}
+    assert got == {1: "mit", 2: "bsd", 3: "gpl-3", 4: "cc-by", 5: ""}
 
 
 KINDS = [("assign", re.compile(secrets.RULES[0][1], re.A)), ("access", re.compile("AKIA[A-Z0-9]+")), ("hex", re.compile("[0-9a-f]+"))]
