@@ -1,10 +1,11 @@
 """Chat formatting: layouts are told apart by the nested field paths they have.
 
-A record's layout fingerprint is the MD5 of its sorted known field paths. It
-selects a declarative mapping that turns the record into canonical turns
-(role, text). Records can be JSON strings (prompt/response, instruction/input/
-output, message lists with role/content or from/value; every record its own
-layout) or rows by turn (the layout is the table's).
+A layout's fingerprint is the MD5 of its sorted known field paths (of an array
+those of any element). It selects a declarative mapping that turns a record into
+canonical turns (role, text). Records can be JSON strings (prompt/response,
+instruction/input/output, message lists with role/content or from/value; every
+record its own layout) or rows by turn, whose layout is the table's schema; a
+table with the columns of several row layouts has the first of them.
 
 Turns are written with the template ``<|turn|>role\\ntext<|end|>\\n``. Control
 strings inside roles and texts are escaped reversibly: ``&`` becomes ``&amp;``,
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -81,10 +83,27 @@ def schema_paths(schema: T.StructType, prefix: str = "") -> list[str]:
 KNOWN_PATHS = sorted({p for m in MAPPINGS for p in paths_of(m)})
 
 
+ROW_PATHS = sorted({p for paths in ROW_MAPPINGS for p in paths})
+# Fingerprints of all sets of row paths that hold a mapping's.
+ROW_LAYOUTS = {
+    fingerprint(list(paths)): next(m for wanted, m in ROW_MAPPINGS.items() if set(wanted) <= set(paths))
+    for size in range(len(ROW_PATHS) + 1)
+    for paths in combinations(ROW_PATHS, size)
+    if any(set(wanted) <= set(paths) for wanted in ROW_MAPPINGS)
+}
+
+
+def _has(record: Column, path: str) -> Column:
+    """Whether a variant has a path; [] stands for any element of an array."""
+    array, _, inner = path.partition("[].")
+    if not inner:
+        return F.try_variant_get(record, f"$.{path}", "variant").isNotNull()
+    return F.exists(F.try_variant_get(record, f"$.{array}", "array<variant>"), lambda x: F.try_variant_get(x, f"$.{inner}", "variant").isNotNull())
+
+
 def layout(record: Column) -> Column:
     """The fingerprint of a variant: MD5 of the known paths that it has."""
-    at = lambda p: "$." + p.replace("[]", "[0]")
-    present = F.array(*[F.when(F.try_variant_get(record, at(p), "variant").isNotNull(), F.lit(p)) for p in KNOWN_PATHS])
+    present = F.array(*[F.when(_has(record, p), F.lit(p)) for p in KNOWN_PATHS])
     return F.md5(F.array_join(F.array_compact(present), ",").cast("binary"))
 
 
@@ -120,15 +139,16 @@ def turns_from_json(records: DataFrame, key: str, json: str) -> DataFrame:
 
 
 def turns_from_rows(rows: DataFrame, key: str) -> DataFrame:
-    """(key, turn, role, text): rows by turn of any known column layout."""
-    have = set(schema_paths(rows.schema))
-    for paths, (turn, role, text) in ROW_MAPPINGS.items():
-        if set(paths) <= have:
-            r = F.coalesce(F.col(role).cast("string"), F.lit(""))
-            if role == "from":  # this layout names its roles otherwise
-                r = F.coalesce(*[F.when(r == old, F.lit(new)) for old, new in ROLES.items()], r)
-            return rows.select(F.col(key), F.col(turn).alias("turn"), r.alias("role"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    raise ValueError(f"no known layout has the columns {sorted(have)}")
+    """(key, turn, role, text): rows by turn; the fingerprint of the table's field paths selects the mapping."""
+    have = schema_paths(rows.schema)
+    mapping = ROW_LAYOUTS.get(fingerprint([p for p in have if p in ROW_PATHS]))
+    if mapping is None:
+        raise ValueError(f"no known layout has the columns {sorted(have)}")
+    turn, role, text = mapping
+    r = F.coalesce(F.col(role).cast("string"), F.lit(""))
+    if role == "from":  # this layout names its roles otherwise
+        r = F.coalesce(*[F.when(r == old, F.lit(new)) for old, new in ROLES.items()], r)
+    return rows.select(F.col(key), F.col(turn).alias("turn"), r.alias("role"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
 
 
 def escape(text: Column) -> Column:

@@ -227,3 +227,30 @@ def test_layouts(spark):
     }
     turns = chat.turns_from_json(spark.createDataFrame(records, "id string, j string"), "id", "j")
     assert chat.format_records(turns, "id").count() == 7
+
+
+def test_layouts_of_rows(spark):
+    """The schema's fingerprint selects the mapping: other columns and those of another layout change nothing, unknown ones are refused."""
+    turns = lambda df: [tuple(r) for r in chat.turns_from_rows(df, "id").collect()]
+    row = spark.createDataFrame([(1, 0, "user", "hi")], "id long, turn long, role string, text string")
+    assert turns(row) == [(1, 0, "user", "hi")]
+    assert turns(row.withColumn("score", F.lit(1)).withColumn("content", F.lit("other"))) == [(1, 0, "user", "hi")]
+    assert turns(row.withColumnRenamed("text", "content")) == [(1, 0, "user", "hi")]
+    shared = spark.createDataFrame([(1, 0, "gpt", "hi"), (1, 1, "human", None)], "id long, turn long, `from` string, value string")
+    assert turns(shared) == [(1, 0, "assistant", "hi"), (1, 1, "user", "")]
+    with pytest.raises(ValueError, match="no known layout"):
+        turns(row.drop("role"))
+
+
+def test_messages_whose_first_lacks_a_field(spark):
+    j = '{"messages": [{"role": "system"}, {"role": "user", "content": "u"}]}'
+    got = chat.turns_from_json(spark.createDataFrame([("a", j)], "id string, j string"), "id", "j").first()
+    assert (got.layout, [(t.role, t.text) for t in got.turns]) == ("messages", [("system", ""), ("user", "u")])
+
+
+def test_very_long_turns(spark):
+    text = "</s>[INST] & é\U0001f600 <|end|>\n" * 40_000
+    rows = spark.createDataFrame([(1, 0, "user", text), (1, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    r = chat.digest(chat.format_rows(chat.turns_from_rows(rows, "conv_id"), "conv_id"), "conv_id").first()
+    assert (r.n_turns, r.loss_chars, r.loss_sha256) == (2, len(text), hashlib.sha256(text.encode()).hexdigest())
+    assert r.turns_sha256 == hashlib.sha256(f"user\n{text}\nassistant\n{text}\n".encode()).hexdigest()
