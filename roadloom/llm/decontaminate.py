@@ -1,9 +1,10 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Words are runs of letters and digits, lower-cased. Every three-word seed of a
-benchmark item is counted in the whole corpus. A passage with at least
-``SEEDS`` different seeds of an item (all, if it has fewer) within the item's
-length is aligned with the item by words (match 2, mismatch -1, gap -1). The
+Words are runs of letters and digits, lower-cased. A seed is three words, next
+to each other or with one left out before the last (so a copy whose every third
+word was replaced still holds seeds). Every seed of a benchmark item is counted
+in the whole corpus. A passage with seeds of an item at ``SEEDS`` different
+places (all, if it has fewer) within the item's length is aligned with the item by words (match 2, mismatch -1, gap -1). The
 score is the alignment's, divided by that of a perfect copy; ``THRESHOLD`` and
 above is a copy, edited or not.
 
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from roadloom.llm.base import cut, Lean, mix64, slices, texts
 from roadloom.llm.shingles import word_hashes
 
-SEED_WORDS, SEEDS, THRESHOLD, BLOCK_BYTES = 3, 2, 0.4, 8_000_000
+SEED_WORDS, GAPPED, SEEDS, THRESHOLD, BLOCK_BYTES = 3, (0, 1, 3), 2, 0.4, 8_000_000
 PAIRS = 4_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 
@@ -51,14 +52,19 @@ def words_of(docs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return word_hashes([d.translate(_PLAIN) for d in docs])
 
 
-def seeds_of(words: np.ndarray, n: int = SEED_WORDS) -> np.ndarray:
-    """Hash of the n words at each place; of all words, if there are fewer."""
-    n = max(1, min(n, len(words)))
-    if not len(words):
+def shapes(n: int) -> list[tuple[int, ...]]:
+    """The seeds of an item of n words, each by the places of its words from the first."""
+    return [tuple(range(max(1, min(n, SEED_WORDS))))] + ([GAPPED] if n > GAPPED[-1] else [])
+
+
+def seeds_of(words: np.ndarray, shape: tuple[int, ...] = tuple(range(SEED_WORDS))) -> np.ndarray:
+    """Hash of the words of ``shape`` at each place where it fits."""
+    n = len(words) - shape[-1]
+    if n <= 0:
         return np.zeros(0, dtype=np.uint64)
-    h = words[: len(words) - n + 1].copy()
-    for j in range(1, n):
-        h = h * _STEP + words[j : len(words) - n + 1 + j]
+    h = words[:n] + _U(shape[-1])
+    for j in shape[1:]:
+        h = h * _STEP + words[j : n + j]
     return mix64(h)
 
 
@@ -69,14 +75,16 @@ class Index:
         self.ids = [i for i, _ in items]
         hashed, at = words_of([t for _, t in items])
         self.words = [hashed[at[i] : at[i + 1]] for i in range(len(items))]
-        self.seeds = [seeds_of(w) for w in self.words]
-        self.sizes = [min(SEED_WORDS, max(1, len(w))) for w in self.words]
-        self.need = [min(SEEDS, len(set(s.tolist()))) for s in self.seeds]
+        own = [[seeds_of(w, shape) for shape in shapes(len(w))] for w in self.words]
+        self.seeds = [np.concatenate(s) for s in own]
+        self.places = [np.concatenate([np.arange(len(x)) for x in s]).tolist() for s in own]
+        # Passages are told by seeds of one shape; the other one only adds to them.
+        self.need = [min(SEEDS, len(set(s[0].tolist()))) for s in own]
         self.reach = np.array([len(w) + len(w) // 2 + 4 for w in self.words], dtype=np.int64)
         self.hashes = np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *self.seeds]))
         self.filter = np.zeros(1 << _BITS, dtype=bool)
         self.filter[(self.hashes & _U((1 << _BITS) - 1)).astype(np.int64)] = True
-        self.short = sorted(set(self.sizes))
+        self.shapes = sorted({shape for w in self.words for shape in shapes(len(w))})
         self.use({})
 
     def use(self, counts: dict[int, int]) -> None:
@@ -86,7 +94,7 @@ class Index:
         for i, s in enumerate(self.seeds):
             numbers = np.searchsorted(self.hashes, s).tolist()
             often = set(sorted(set(numbers), key=lambda k: (-count[k], k))[: max(0, self.need[i] - 1)])
-            for q, k in enumerate(numbers):
+            for q, k in zip(self.places[i], numbers, strict=True):
                 (other if k in often else rare).append((k, i, q))
         table = np.array(sorted(rare), dtype=np.int64).reshape(-1, 3)
         self.at = np.searchsorted(table[:, 0], np.arange(len(self.hashes) + 1))
@@ -117,15 +125,15 @@ class Index:
         places, numbers = [], []
         if not len(self.hashes):
             return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        for n in self.short:
-            if len(words) < n:
+        for shape in self.shapes:
+            h = seeds_of(words, shape)
+            if not len(h):
                 continue
-            h = seeds_of(words, n)
             at = np.flatnonzero(self.filter[(h & _U((1 << _BITS) - 1)).astype(np.int64)])
             k = np.minimum(np.searchsorted(self.hashes, h[at]), len(self.hashes) - 1)
             good = self.hashes[k] == h[at]
             at, k = at[good], k[good]
-            inside = np.searchsorted(bounds, at, side="right") == np.searchsorted(bounds, at + n - 1, side="right")
+            inside = np.searchsorted(bounds, at, side="right") == np.searchsorted(bounds, at + shape[-1], side="right")
             places.append(at[inside])
             numbers.append(k[inside])
         if not places:

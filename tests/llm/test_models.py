@@ -232,3 +232,32 @@ def test_pipeline_stages(spark, tmp_path):
     assert [i for i, _ in a] == [i for i, _ in b] and [t for i, t in b if i == 50_001][0].endswith("[assign]") and sum(x != y for x, y in zip(a, b, strict=True)) == 1
     packed = corpus_pipeline.run(spark, d).collect()
     assert {r.doc_id for r in packed} == {i for i, _ in b}
+
+
+def test_decontamination_recall_against_full_alignment(spark):
+    """Of all pairs that a full Smith-Waterman alignment puts at the threshold, nearly all are found, and no others; every third word replaced included."""
+    rng = random.Random(12)
+    vocabulary = [f"v{i}" for i in range(300)]
+    items = [(k, [rng.choice(vocabulary) for _ in range(rng.randint(18, 60))]) for k in range(8)]
+
+    def edited(w, kind):
+        w = list(w)
+        if kind in (3, 4):  # every third, every fourth word replaced
+            w[kind - 1 :: kind] = [f"e{rng.randrange(10**6)}" for _ in w[kind - 1 :: kind]]
+        elif kind == 5:  # half of the item
+            w = w[: len(w) // 2]
+        else:
+            for _ in range(rng.randrange(len(w) // 3)):
+                i = rng.randrange(len(w))
+                w[i : i + 1] = rng.choice([[], [rng.choice(vocabulary)], [w[i], f"e{rng.randrange(10**6)}"]])
+        return w
+
+    docs = [(i, [rng.choice(vocabulary) for _ in range(40)] + edited(items[i % 8][1], i % 7) + [rng.choice(vocabulary) for _ in range(30)]) for i in range(160)]
+    docs += [(1000 + i, [rng.choice(vocabulary) for _ in range(120)]) for i in range(60)]
+    made = spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(frame(spark, [(i, " ".join(w)) for i, w in docs]), made).collect()}
+    number = {w: n for n, w in enumerate(sorted({w for _, ws in docs + items for w in ws}))}
+    code = lambda ws: np.array([number[w] for w in ws], dtype=np.uint64)
+    want = {(i, k) for i, d in docs for k, item in items if decontaminate.align(code(item), code(d))[0] >= decontaminate.THRESHOLD * decontaminate.MATCH * len(item)}
+    assert any(i % 7 == 3 for i, _ in want) and len(want) > 120
+    assert got <= want and len(got) >= 0.98 * len(want)
