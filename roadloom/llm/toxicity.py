@@ -3,7 +3,10 @@
 ``learn`` takes labelled texts and keeps the words and word beginnings that
 stand in toxic texts far more often than chance allows. It is fitted on at
 most ``FIT_ROWS`` labelled rows (those with the least hash of doc_id), so it
-behaves alike at every size of the corpus; scoring covers every whole text.
+behaves alike at every size of the corpus; scoring covers every whole text. A
+term must also stand in a share ``SUPPORT`` of the toxic texts: near copies of
+one toxic text are no independent observations, and significance alone takes
+their other words for terms.
 
 Misspellings: the lexicon's words and word beginnings form a trie, which is
 intersected with the Levenshtein automaton of each distinct word (the
@@ -39,7 +42,7 @@ from pyspark.sql import functions as F
 
 from roadloom.llm.base import Lean, cut, slices
 
-FIT_ROWS, MAX_TERMS, SIGNIFICANCE, SUPPORT = 12_000, 512, 12.0, 0.03
+FIT_ROWS, SIGNIFICANCE, SUPPORT = 12_000, 12.0, 0.03
 # Clean texts for each toxic one that a term may stand in: for full weight, and at all.
 PURITY, WORST = 0.005, 0.12
 EXACT, IMPURE, FUZZY, WINDOW, THRESHOLD = 0.7, 0.25, 0.4, 8, 0.3
@@ -98,8 +101,8 @@ def learn(sample: DataFrame) -> dict:
     surprise = -math.log(n_pos / (n_pos + n_neg))
     terms = counts.mapInArrow(Lean(_count), "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     good = terms.filter((F.col("pos") >= max(SIGNIFICANCE / surprise, SUPPORT * n_pos)) & (F.col("neg") <= F.col("pos") * WORST))
-    # Bounded: the MAX_TERMS best terms and their extensions.
-    best = good.orderBy(F.desc("pos"), F.length("term"), "term").limit(16 * MAX_TERMS).collect()
+    # Bounded by the sample: a term stands in a share of SUPPORT of its toxic texts, so there are as many as 1 / SUPPORT of these texts have features at most.
+    best = good.collect()
     found = choose({r[0]: (int(r[1]), int(r[2])) for r in best})
     found["fuzzy"] = {w: FUZZY for w, weight in found["words"].items() if len(w) >= FUZZY_FROM and weight == EXACT}
     found["fuzzy"] |= {w + "*": FUZZY for w, weight in found["stems"].items() if len(w) >= FUZZY_FROM and weight == EXACT}
@@ -131,8 +134,7 @@ def choose(terms: dict[str, tuple[int, int]]) -> dict:
     for term in terms:
         if not term.endswith("*") and len(term) < SHORTEST:
             words[term] = EXACT if pure(term) else IMPURE
-    top = sorted(words, key=lambda w: -terms[w][0])[:MAX_TERMS]
-    return {"words": {w: words[w] for w in top}, "stems": dict(list(stems.items())[:MAX_TERMS])}
+    return {"words": words, "stems": stems}
 
 
 def trie(words: list[str]) -> dict:
