@@ -9,6 +9,13 @@ kept. All but the last return the columns of documents.
 3. decontaminate: documents that hold a copy of a benchmark item go.
 4. secrets: secrets in texts are replaced by their kind.
 5. pack: tokenised documents packed into sequences.
+
+Defined cases: a null or empty text is not toxic, no copy of anything and holds
+no secret, so its row stays and is packed as the end token alone; very long texts
+are worked on whole; of near-duplicates with equal standing the least doc_id
+stays; rows that repeat a doc_id are one document and one row of them stays, rows
+without doc_id are all kept; an empty table gives no sequences; further columns
+pass through all stages but the last, whatever their names.
 """
 
 from __future__ import annotations
