@@ -490,8 +490,11 @@ def repeated_spans(docs: DataFrame, group: int = GROUP, slice_bytes: int = SLICE
     marked = cut(spread(rows, "route").select("key", "f", "doc_id", "info").mapInArrow(Lean(_partners), "key long, doc_id long, pos int, kind int, sure boolean"), "anchors")
     sure = marked.filter("sure").select("doc_id", F.greatest(F.col("pos") - LENGTH, F.lit(0)).cast("long").alias("start"), (F.col("pos") + LENGTH).cast("long").alias("stop"))
     cands = marked.filter("not sure")
-    crowded = cands.groupBy("key", "kind").agg(F.count("*").alias("n")).filter(F.col("n") > group).select("key", "kind", F.lit(True).alias("crowded"))
-    asked = cands.join(crowded, ["key", "kind"], "left").groupBy("doc_id").agg(F.collect_set(F.struct("key", "pos", "kind", "crowded")).alias("all"))
+    # Few halves are crowded, mostly none: then there is nothing to join them with.
+    crowded = cut(cands.groupBy("key", "kind").agg(F.count("*").alias("n")).filter(F.col("n") > group).select("key", "kind", F.lit(True).alias("crowded")), "crowded")
+    none = crowded.isEmpty()
+    told = cands.withColumn("crowded", F.lit(None).cast("boolean")) if none else cands.join(crowded, ["key", "kind"], "left")
+    asked = told.groupBy("doc_id").agg(F.collect_set(F.struct("key", "pos", "kind", "crowded")).alias("all"))
     work = base.join(asked, "doc_id")
     few = work.select("doc_id", "text", F.filter("all", lambda x: x["crowded"].isNull()).alias("asked")).filter(F.size("asked") > 0)
     many = work.select("doc_id", "text", F.filter("all", lambda x: x["crowded"].isNotNull()).alias("asked")).filter(F.size("asked") > 0)
@@ -499,7 +502,7 @@ def repeated_spans(docs: DataFrame, group: int = GROUP, slice_bytes: int = SLICE
     runs = few.mapInArrow(Lean(_runs, parts), "part int, run long, seq int, block binary")
     merged = spread(runs, "part").sortWithinPartitions("part", "run", "seq").mapInArrow(Lean(_merge), "doc_id long, start long, stop long")
     spans = sure.unionByName(merged)
-    if not crowded.isEmpty():
+    if not none:
         windows = cut(many.mapInArrow(Lean(_windows), "h long, doc_id long, pos long, kind int, a long"), "windows")
         twice = windows.filter("h is not null").groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
         hit = windows.join(twice, "h", "left_semi").unionByName(windows.filter("h is null"))
