@@ -16,7 +16,9 @@ the capacity, not by the corpus.
 3. Pieces get places by their rank among the pieces of equal length: the r-th
    piece of a length takes the r-th place that the patterns have for it. Ranks
    come from two levels (rank in a hash bucket, plus the number of pieces in
-   earlier buckets), so no task holds all pieces of a length.
+   earlier buckets). A length has as many buckets as its pieces need for none
+   to hold more than about ``BUCKET_ROWS`` of them, nor a ``SHARES``-th of all,
+   so no task holds all pieces of a length.
 
 Documents are tokenised once; pieces (without their ids) are written to the
 shared folder and read again.
@@ -43,7 +45,8 @@ from pyspark.sql import functions as F
 
 from roadloom.llm.base import cut, Lean, slices
 
-CAPACITY, SEPARATOR, BUCKETS, SEARCH_BINS, PROBES, LOOKS = 2048, 0, 64, 256, 2_000_000, 300_000_000
+CAPACITY, SEPARATOR, SEARCH_BINS, PROBES, LOOKS = 2048, 0, 256, 2_000_000, 300_000_000
+BUCKET_ROWS, SHARES = 1_000_000, 256
 
 # Texts of these Latin-1 characters only are cut into words here and looked up; all others go through the tokenizer whole.
 PLAIN = bytes([9, 10, 13, *range(0x20, 0x7F), 0xA1, 0xAB, 0xBB, 0xBF, *range(0xC0, 0x100)])
@@ -316,22 +319,33 @@ def _place(where: dict[int, tuple[np.ndarray, ...]], batches: Iterator[pa.Record
         yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(sequence), pa.array(offset)], names=[*names, "sequence_id", "offset"])
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, separator: int = SEPARATOR, buckets: int = BUCKETS) -> DataFrame:
+def buckets_of(histogram: dict[int, int], rows: int = BUCKET_ROWS, shares: int = SHARES) -> dict[int, int]:
+    """How many buckets a length's pieces are dealt out over; the sum is at most the number of lengths, plus ``shares`` or the pieces over ``rows``."""
+    size = max(1, min(rows, sum(histogram.values()) // shares))
+    return {length: -(-n // size) for length, n in histogram.items()}
+
+
+def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, separator: int = SEPARATOR, rows: int = BUCKET_ROWS) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     cutup = cut(pieces(docs, tokenizer, capacity, separator), "pieces")
-    bucketed = cutup.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)).cast("int"))
-    counts = bucketed.groupBy("length", "_bucket").agg(F.count("*").alias("n"))
-    # Bounded: capacity x buckets rows.
-    counted = sorted((int(a), int(b), int(c)) for a, b, c in counts.collect())
-    histogram: Counter[int] = Counter()
+    # Bounded: a row for each length, capacity at most.
+    histogram = {int(length): int(n) for length, n in cutup.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    of = np.ones(capacity + 1, dtype=np.int64)
+    for length, n in buckets_of(histogram, rows).items():
+        of[length] = n
+    deal = F.pmod(F.xxhash64("doc_id", "piece"), F.element_at(F.split(F.lit(",".join(map(str, of.tolist()))), ",").cast("array<long>"), F.col("length").cast("int") + 1))
+    bucketed = cutup.withColumn("_bucket", deal.cast("int"))
+    # Bounded by the sum of buckets_of().
+    counted = sorted((int(a), int(b), int(c)) for a, b, c in bucketed.groupBy("length", "_bucket").agg(F.count("*").alias("n")).collect())
+    before: Counter[int] = Counter()
     lift = []
     for length, bucket, n in counted:
-        lift.append((length, bucket, histogram[length]))
-        histogram[length] += n
-    where = places(plan(dict(histogram), capacity))
+        lift.append((length, bucket, before[length]))
+        before[length] += n
+    where = places(plan(histogram, capacity))
     spark = docs.sparkSession
     lifts = spark.createDataFrame(lift, "l long, b int, lift long")
     inside = F.row_number().over(Window.partitionBy("length", "_bucket").orderBy("doc_id", "piece", "ids_crc32")) - 1
     ranked = bucketed.withColumn("_in", inside).join(F.broadcast(lifts), (F.col("length") == F.col("l")) & (F.col("_bucket") == F.col("b")))
-    rows = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("_in") + F.col("lift")).cast("long").alias("_rank"))
-    return rows.mapInArrow(Lean(_place, where), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    placed = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("_in") + F.col("lift")).cast("long").alias("_rank"))
+    return placed.mapInArrow(Lean(_place, where), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

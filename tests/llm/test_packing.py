@@ -29,6 +29,27 @@ def test_fast_encoding_is_the_librarys():
         assert np.frombuffer(w.encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
 
 
+def test_buckets_of_a_length():
+    assert packing.buckets_of({5: 3, 2048: 10_000_000}, rows=1000, shares=4) == {5: 1, 2048: 10_000}
+    assert packing.buckets_of({5: 3, 2048: 997}, rows=1000, shares=4) == {5: 1, 2048: 4}
+    assert packing.buckets_of({}) == {}
+
+
+def test_many_buckets_leave_no_place_twice(spark):
+    rows = [(i, "one two") for i in range(500)] + [(1000 + i, "one " * (i % 9)) for i in range(200)]
+    got = packing.pack(frame(spark, rows), tokenizer_path(), capacity=16, rows=7).collect()
+    assert sorted(r.doc_id for r in got) == sorted(i for i, _ in rows)
+    held = defaultdict(list)
+    for r in got:
+        held[r.sequence_id].append((r.offset, r.length))
+    for places in held.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 16
+
+
 def test_round_trip(spark):
     rows = documents(2) + [(5000 + i, t) for i, t in enumerate(TEXTS)]
     t = library()
