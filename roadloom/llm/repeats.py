@@ -515,5 +515,7 @@ def repeated_spans(docs: DataFrame, group: int = GROUP, slice_bytes: int = SLICE
 def remove_repeats(docs: DataFrame, group: int = GROUP, slice_bytes: int = SLICE) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    by_doc = repeated_spans(docs, group, slice_bytes).groupBy("doc_id").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    # Spans have LENGTH bytes or more, so those that start within LENGTH bytes of each other overlap and are one: a document has one for each LENGTH bytes at most.
+    near = spread(repeated_spans(docs, group, slice_bytes), "doc_id").groupBy("doc_id", F.floor(F.col("start") / LENGTH).alias("near")).agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+    by_doc = near.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     return base.join(by_doc, "doc_id", "left").mapInArrow(Lean(_remove), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
