@@ -29,17 +29,19 @@ def unit_hash(*parts: Column) -> Column:
     return (head + 0.5) / F.lit(float(2**52))
 
 
-def rendezvous(key: Column, weights: list[float]) -> Column:
-    """The number (from 0) of the shard with the highest score; a tie goes to the lower number.
+def rendezvous(key: Column, weights: list[float], among: list[Column] | None = None) -> Column:
+    """The number (from 0) of the shard with the highest score; a tie goes to the lower number. ``among`` leaves only some shards in the contest.
 
     With equal weights the scores' order is the order of the hashes, so those
     are compared as they are.
     """
     name = F.coalesce(key.cast("string"), F.lit(""))
     if len(set(weights)) == 1:
-        scores = [F.struct(F.substring(F.md5(F.concat_ws(":", name, F.lit(str(i)))), 1, 13).alias("s"), F.lit(-i).alias("i")) for i in range(len(weights))]
+        scores = [F.struct(F.substring(F.md5(F.concat_ws(":", name, i.cast("string"))), 1, 13).alias("s"), (-i).alias("i")) for i in among or map(F.lit, range(len(weights)))]
     else:
-        scores = [F.struct((F.lit(-float(w)) / F.log(unit_hash(name, F.lit(str(i))))).alias("s"), F.lit(-i).alias("i")) for i, w in enumerate(weights) if w > 0]
+        weight = lambda i: F.element_at(F.lit([float(w) for w in weights]), i + 1)
+        some = among or [F.lit(i) for i, w in enumerate(weights) if w > 0]
+        scores = [F.struct((-weight(i) / F.log(unit_hash(name, i.cast("string")))).alias("s"), (-i).alias("i")) for i in some]
     best = scores[0] if len(scores) == 1 else F.greatest(*scores)
     return (-best["i"]).cast("int")
 
@@ -65,6 +67,9 @@ def shard_documents(docs: DataFrame, weights: list[float], grown: list[float] |
         F.crc32(text.cast("binary")).alias("text_crc32"),
     )
     rows = rows.withColumn("shard", rendezvous(F.col("doc_id"), weights))
-    after = rendezvous(F.col("doc_id"), grown) if grown else F.lit(None).cast("int")
+    after = F.lit(None).cast("int") if not grown else rendezvous(F.col("doc_id"), grown)
+    if grown and grown[: len(weights)] == weights:
+        # The old shards' scores stand, so only the old winner and the new shards are compared.
+        after = rendezvous(F.col("doc_id"), grown, [F.col("shard"), *map(F.lit, range(len(weights), len(grown)))])
     placed = slots(rows, "shard", ["doc_id", "text_crc32", "size"], digits)
     return placed.withColumn("grown_shard", after)

@@ -175,6 +175,15 @@ def test_shards(spark):
     assert sharding.shard_documents(frame(spark, []), [1.0, 1.0]).collect() == []
 
 
+@pytest.mark.parametrize("weights", [[1.0, 1.0, 1.0], [1.0, 3.0, 0.5]])
+def test_grown_shard_is_that_of_all_shards(spark, weights):
+    docs = frame(spark, [(i, "x" * (i % 5)) for i in range(400)])
+    for more in ([1.0], [2.0], [1.0, 4.0]):
+        got = {r.doc_id: (r.shard, r.grown_shard) for r in sharding.shard_documents(docs, weights, weights + more).collect()}
+        whole = docs.select("doc_id", sharding.rendezvous(F.col("doc_id"), weights).alias("a"), sharding.rendezvous(F.col("doc_id"), weights + more).alias("b"))
+        assert got == {r.doc_id: (r.a, r.b) for r in whole.collect()}
+
+
 def test_weighted_shards(spark):
     ids = spark.range(6000).select(F.col("id").alias("doc_id"))
     place = lambda w: {r[0]: r[1] for r in ids.select("doc_id", sharding.rendezvous(F.col("doc_id"), w)).collect()}
