@@ -11,8 +11,9 @@ hash of vec_id); every vector is indexed. ``visit`` is measured, not guessed:
 for ``TRIAL`` queries the true neighbours come from one pass over all vectors,
 and ``visit`` is what it takes to meet the share ``RECALL`` of them (vectors
 without structure need many visits, clustered ones few). K grows with the
-square root of the number of vectors, up to ``MOST_K``; the table of cell
-sizes has K x K rows at most and goes with the tasks.
+square root of the number of vectors, up to ``MOST_K`` (the sample has 39
+vectors for each centroid then); the table of cell sizes has K x K rows at
+most and goes with the tasks.
 
 Cells are dealt out in units of 2,000 to 50,000 vectors, and a query goes to a
 unit once, with the list of its cells there. A cell with more vectors than
@@ -20,8 +21,8 @@ that is cut into several units. So one vector that is repeated over a third of
 all rows neither lands in one task nor drops out.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite
-components take no part, nor do those whose length isn't the sample's most
-frequent; rows that repeat a vec_id count once; fewer than ``top`` candidates
+components take no part; a distance is defined between vectors of equal length
+only, so each length has an index of its own; rows that repeat a vec_id count once; fewer than ``top`` candidates
 return all of them; an empty table gives an empty result; further columns are
 ignored.
 """
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 
 from roadloom.llm.base import cut, grouped, Lean, mix64, spread
 
-FIT_ROWS, MOST_K, SEED = 20_000, 128, 5
+FIT_ROWS, MOST_K, SEED = 20_000, 512, 5
 # Vectors in a unit of work: the table over UNITS, within these bounds.
 UNITS, LEAST_UNIT, MOST_UNIT = 128, 2_000, 50_000
 TRIAL, RECALL, LEAST_VISIT = 64, 0.97, 1_000
@@ -76,15 +77,9 @@ def matrix(column: pa.Array, size: int) -> np.ndarray:
     return np.asarray(column.flatten().to_numpy(zero_copy_only=False), dtype=np.float64).reshape(-1, size)
 
 
-def fit(vectors: DataFrame, rows: int = FIT_ROWS, most_k: int = MOST_K) -> dict | None:
-    """The two codebooks, from a bounded sample."""
-    n = vectors.count()
-    sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(rows).select("v").toPandas()["v"].tolist()
-    if not sample:
-        return None
-    sizes = np.bincount([len(v) for v in sample])
-    size = int(sizes.argmax())
-    x = np.array([v for v in sample if len(v) == size], dtype=np.float64)
+def fit(vectors: DataFrame, size: int, n: int, rows: int = FIT_ROWS, most_k: int = MOST_K) -> dict:
+    """The two codebooks of ``n`` vectors of length ``size``, from a bounded sample."""
+    x = np.array(vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(rows).select("v").toPandas()["v"].tolist(), dtype=np.float64)
     half = max(1, size // 2)
     k = int(min(most_k, max(4, np.ceil(np.sqrt(n / 4)))))
     return {"size": size, "half": half, "books": [kmeans(x[:, :half], k), kmeans(x[:, half:], k)] if size > 1 else [kmeans(x, k), np.zeros((1, 0))]}
@@ -207,7 +202,7 @@ def _route(index: dict, sizes: dict[int, int], units: dict[int, tuple[int, int]]
         yield pa.RecordBatch.from_arrays([batch.column("vec_id").take(at), batch.column("v").take(at), pa.array(to, pa.int64()), pa.array(lists, pa.list_(pa.int64())), pa.array([True] * len(rows), pa.bool_())], names=["vec_id", "v", "unit", "cells", "asks"])
 
 
-def _rerank(size: int, cells: int, top: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _rerank(size: int, top: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for unit in grouped(batches, "unit"):
         unit = unit.combine_chunks()
         asks = unit.column("asks").to_numpy()
@@ -216,13 +211,18 @@ def _rerank(size: int, cells: int, top: int, batches: Iterator[pa.RecordBatch])
             continue
         x = matrix(unit.column("v").combine_chunks(), size)
         lists = unit.column("cells").to_pylist()
-        e, e_ids = x[~asks], ids[~asks]
-        e_cells = np.array([lists[i][0] for i in np.flatnonzero(~asks)])
+        # Sorted by cell: a query's candidates are a few stretches.
+        stored = np.flatnonzero(~asks)
+        e_cells = np.array([lists[i][0] for i in stored])
+        order = np.argsort(e_cells, kind="stable")
+        e, e_ids, e_cells = x[stored[order]], ids[stored[order]], e_cells[order]
         out_q, out_v, out_d = [], [], []
         for i in np.flatnonzero(asks):
-            visited = np.zeros(cells, dtype=bool)
-            visited[lists[i]] = True
-            at = np.flatnonzero(visited[e_cells] & (e_ids != ids[i]))
+            cells = np.array(lists[i])
+            first = np.searchsorted(e_cells, cells)
+            held = np.searchsorted(e_cells, cells, side="right") - first
+            at = np.arange(held.sum()) + np.repeat(first - np.cumsum(held) + held, held)
+            at = at[e_ids[at] != ids[i]]
             d, cand = np.sqrt(((e[at] - x[i]) ** 2).sum(axis=1)), e_ids[at]
             if len(d) > top:
                 near = np.flatnonzero(d <= np.partition(d, top - 1)[top - 1])
@@ -239,23 +239,32 @@ def _rerank(size: int, cells: int, top: int, batches: Iterator[pa.RecordBatch])
 def search(vectors: DataFrame, queries: DataFrame, top: int = 10, visit: int | None = None, unit: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score; both inputs have (vec_id, embedding). ``visit`` overrides the measured number of visits."""
     shape = lambda df: df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v")).filter("vec_id is not null").filter(valid(F.col("v")))
-    base = shape(vectors)
-    index = fit(base)
-    if index is None:
+    base, asked = shape(vectors), shape(queries)
+    out = None
+    # One row for each length that vectors have; a table of embeddings has one.
+    lengths = base.groupBy(F.size("v").alias("size")).count()
+    for size, n in lengths.join(asked.select(F.size("v").alias("size")).distinct(), "size", "left_semi").orderBy("size").collect():
+        sized = lambda df, size=size: df.filter(F.size("v") == size)
+        found = _search(sized(base), sized(asked), size, n, top, visit, unit)
+        out = found if out is None else out.unionByName(found)
+    if out is None:
         return base.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score")).limit(0)
-    sized = lambda df: df.filter(F.size("v") == index["size"])
-    entries = cut(sized(base).mapInArrow(Lean(_assign, index), "vec_id long, v array<double>, cell long"), "imi")
+    return out
+
+
+def _search(base: DataFrame, asked: DataFrame, size: int, n: int, top: int, visit: int | None, unit: int | None) -> DataFrame:
+    """The same for ``n`` vectors (vec_id, v) of one length."""
+    index = fit(base, size, n)
+    entries = cut(base.mapInArrow(Lean(_assign, index), "vec_id long, v array<double>, cell long"), "imi")
     # Bounded: K x K cells at most.
     sizes = {int(c): int(n) for c, n in entries.groupBy("cell").count().collect()}
     units = units_of(sizes, unit or min(MOST_UNIT, max(LEAST_UNIT, sum(sizes.values()) // UNITS)))
-    asked = sized(shape(queries))
     visit = visits(index, entries, asked, sizes, top) if visit is None else visit
     kind = "vec_id long, v array<double>, unit long, cells array<long>, asks boolean"
     stored = entries.mapInArrow(Lean(_store, units), kind)
     routed = spread(asked, "vec_id").mapInArrow(Lean(_route, index, sizes, units, visit), kind)
     work = spread(stored.unionByName(routed), "unit").sortWithinPartitions("unit")
-    cells = len(index["books"][0]) * len(index["books"][1])
-    near = work.mapInArrow(Lean(_rerank, index["size"], cells, top), "query_id long, vec_id long, score double")
+    near = work.mapInArrow(Lean(_rerank, size, top), "query_id long, vec_id long, score double")
     # A query has ``top`` rows a visited unit; sets drop what repeated queries repeat.
     best = near.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_set(F.struct("score", "vec_id"))), 1, top).alias("t"))
     out = best.select("query_id", F.posexplode("t").alias("p", "x"))

@@ -198,6 +198,17 @@ def test_few_vectors(spark):
     assert ann.search(df.filter("false"), df.filter("false"), top=10).collect() == []
 
 
+def test_each_length_has_its_index(spark):
+    rng = np.random.default_rng(4)
+    good = {i: rng.normal(size=3 if i % 7 == 0 else 8 if i % 3 else 1) for i in range(300)}
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in good.items()], "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.search(df, df.filter("vec_id % 20 = 0"), top=4).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    own = lambda q: [i for i in good if i != q and len(good[i]) == len(good[q])]
+    assert got == {q: sorted(own(q), key=lambda i: (np.sqrt(((good[i] - good[q]) ** 2).sum()), i))[:4] for q in range(0, 300, 20)}
+
+
 def test_pipeline_stages(spark, tmp_path):
     """Each stage against what brute force says of its input."""
     rng = random.Random(11)
