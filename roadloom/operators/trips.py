@@ -55,6 +55,7 @@ def sample_trips(points: DataFrame, key: str, rate: float, seed: int = 0) -> Dat
     """int(n * rate) traces without replacement: those with the least seeded hash. The same call gives the same sample."""
     ids = points.select(key).distinct()
     n = ids.count()
-    hashed = ids.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed)))
+    head = F.substring(F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))), 1, 15)
+    hashed = ids.withColumn("_h", F.conv(head, 16, 10).cast("long"))
     chosen = numbered(hashed, ["_h", key], "_r").filter(F.col("_r") <= int(n * rate)).select(key)
     return points.join(chosen, key, "left_semi")

@@ -319,7 +319,11 @@ def s06(t: Tables) -> DataFrame:
     return live.middle_row(t.hbp, "vehicle", ["event_id"]).select("vehicle", "event_id")
 
 
-@query("s07_sample_trips")
+SAMPLE = """select trip_id, t, lat, lon from $pts where trip_id in (select trip_id from (select trip_id, count(*) over () as n,
+  row_number() over (order by md5(concat(cast(trip_id as varchar), ':0')), trip_id) as r from (select distinct trip_id from $pts) a) b where r <= floor(n * 0.3::double))"""
+
+
+@query("s07_sample_trips", SAMPLE)
 def s07(t: Tables) -> DataFrame:
     return trips.sample_trips(t.pts, "trip_id", 0.3).select("trip_id", "t", "lat", "lon")
 

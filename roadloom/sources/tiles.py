@@ -8,6 +8,7 @@ import tarfile
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from roadloom.params import TILE_VERSION
@@ -15,6 +16,7 @@ from roadloom.params import TILE_VERSION
 # Header tile id, last update (64 bits), edge count, version, two spares (32 bits); then the records and two zero words.
 HEADER, PAD = struct.Struct("<QQIIII"), struct.Struct("<II")
 SUFFIX = ".gph"
+BATCH_ROWS = 65_536
 
 
 def encode_tile(tile: int, updated: int, records: np.ndarray, version: int = TILE_VERSION) -> bytes:
@@ -47,13 +49,16 @@ class TileTarReader(DataSourceReader):
         with tarfile.open(self.path) as tar:
             return [InputPartition((m.name, m.offset_data, m.size)) for m in tar.getmembers() if m.isfile() and m.name.endswith(SUFFIX) and m.name.rsplit("/", 1)[-1][: -len(SUFFIX)].isdigit()]
 
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
         _, offset, size = partition.value
         with open(self.path, "rb") as f:
             f.seek(offset)
             tile, updated, _, records = decode_tile(f.read(size))
-        for i, r in enumerate(records.view(np.int64).tolist()):
-            yield tile, i, r, updated
+        for at in range(0, len(records), BATCH_ROWS):
+            part = records[at : at + BATCH_ROWS].view(np.int64)
+            n = len(part)
+            columns = [pa.array(np.full(n, tile, dtype=np.int64)), pa.array(np.arange(at, at + n, dtype=np.int32)), pa.array(part), pa.array(np.full(n, updated, dtype=np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["tile", "edge_index", "record", "last_update"])
 
 
 class TileTar(DataSource):

@@ -213,6 +213,36 @@ def test_http_matcher(spark):
     assert {x["costing"] for x in Service.seen} == {"auto"}
 
 
+class Snapper(BaseHTTPRequestHandler):
+    seen: list = []
+
+    def do_POST(self):
+        body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+        Snapper.seen.append(body)
+        lat = body["locations"][0]["lat"]
+        again = sum(b == body for b in Snapper.seen) > 1
+        # 22: the newer form; 23: the older one, at the second try; 24: no edge; 25: never an answer.
+        answer = {22.0: [{"edges": [{"edge_id": {"value": 7}}]}], 23.0: [{"edges": [{"id": 8}]}], 24.0: [{"edges": []}]}.get(lat)
+        self.send_response(500 if answer is None or lat == 23.0 and not again else 200)
+        self.end_headers()
+        self.wfile.write(json.dumps(answer).encode() if answer is not None else b"")
+
+    def log_message(self, *args):
+        pass
+
+
+def test_http_snap(spark):
+    server = HTTPServer(("127.0.0.1", 0), Snapper)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    rows = [(1, 22.0, 114.0), (2, 22.0, 114.0), (3, 23.0, 114.0), (4, 24.0, 114.0), (5, 25.0, 114.0), (6, None, 114.0)]
+    points = spark.createDataFrame(rows, "event_id long, lat double, lon double")
+    got = matcher.snap(points, "event_id", f"http://127.0.0.1:{server.server_port}/locate", timeout_s=5, tries=2, wait_s=0.01, pause_s=0.01).collect()
+    server.shutdown()
+    assert sorted(map(tuple, got)) == [(1, 7), (2, 7), (3, 8)]
+    assert sorted(b["locations"][0]["lat"] for b in Snapper.seen) == [22.0, 23.0, 23.0, 24.0, 25.0, 25.0]
+    assert all(b["verbose"] is True for b in Snapper.seen)
+
+
 def test_exact_state_stream(spark, tmp_path):
     p = Params(window_s=60)
     path, out = str(tmp_path / "in"), str(tmp_path / "out")
