@@ -10,6 +10,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from roadloom.operators.trips import in_interval
 from roadloom.session import ship
 
 VIEWS: dict[str, str] = {
@@ -98,6 +99,12 @@ class Tables:
         need = {n: getattr(self, n) for n in names_in(text)}
         return self.spark.sql(re.sub(r"\$(" + "|".join([*VIEWS, *TABLES]) + r")\b", r"{\1}", _render(text, False)), **need)
 
+    @cached_property
+    def pts(self) -> DataFrame:
+        """The view of that name by the bucketed interval join: a busy vehicle is spread over its hours."""
+        found = in_interval(self.hbp, self.trips.select("vehicle", "trip_id", "start_s", "end_s"), "vehicle", "t", "start_s", "end_s")
+        return found.select("trip_id", "t", "lat", "lon", "event_id", "speed")
+
     @cached_property
     def heartbeats(self) -> DataFrame:
         return self.hb
